@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Unicode white space, and what counts as a letter of a word.
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -118,7 +119,7 @@ NFKC_STABLE = (
 MAY_CHANGE = rf"[^\x00-\x7f](?<![{_ranges(*NFKC_STABLE)}])"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from mailspark.config import HAM, SPAM
 from mailspark.functions.mail import compose_text, parse_mails
 from mailspark.operators.dedup import drop_repeated_texts
+from mailspark.sources.scratch import written
 
 MAIL_COLUMNS = ("id", "label", "label_name", "text", "path")
 
@@ -106,14 +107,15 @@ def load_mails(
 ) -> DataFrame:
     """Load a ham/spam folder pair or a labelled ``.csv``/``.tsv`` file.
 
-    Rows of a delimited file carry no path, so theirs is made from the file name
-    and the digest of the text.
+    Rows of a delimited file carry no path, so they are numbered, copies too, and
+    written once to keep their numbers.
     """
     if path.lower().endswith((".csv", ".tsv")):
-        rows = read_labelled_csv(spark, path)
-        mails = as_mails(
-            rows.withColumn("path", F.concat(F.lit(f"{path}#"), F.sha1(F.col("text").cast("binary"))))
+        number = F.monotonically_increasing_id().cast("string")
+        rows = read_labelled_csv(spark, path).withColumn(
+            "path", F.concat(F.lit(f"{path}#"), number)
         )
+        mails = written(as_mails(rows), "mails")
     elif _is_folder_pair(spark, path):
         mails = read_folders(spark, path)
     else:
