@@ -70,3 +70,27 @@ def add_terms(df: DataFrame, config: FeatureConfig, clean: str = "clean") -> Dat
 def term_documents(mails: DataFrame, config: FeatureConfig) -> DataFrame:
     """Mails with ``text`` replaced by ``terms``."""
     return add_terms(clean_text(mails), config).drop("text", "clean")
+
+
+def count_terms(df: DataFrame) -> DataFrame:
+    """Replace ``terms`` by its counts, an array of (token, tf).
+
+    The sorted terms are cut where one run of equal terms ends, so the counting
+    stays inside the row: no shuffle, and no more memory than one mail needs.
+    """
+    ordered = df.withColumn("terms", F.sort_array("terms")).withColumn("_n", F.size("terms"))
+    run_ends = F.filter(
+        F.sequence(F.lit(1), F.greatest("_n", F.lit(1))),
+        lambda i: (i == F.col("_n"))
+        | (F.get("terms", i) != F.get("terms", i - 1)),
+    )
+    ordered = ordered.withColumn("_ends", F.when(F.col("_n") > 0, run_ends).otherwise(F.array()))
+    starts = F.slice(F.concat(F.array(F.lit(0)), "_ends"), 1, F.size("_ends"))
+    counted = F.zip_with(
+        "_ends",
+        starts,
+        lambda end, start: F.struct(
+            F.get("terms", end - 1).alias("token"), (end - start).alias("tf")
+        ),
+    )
+    return ordered.withColumn("terms", counted).drop("_n", "_ends")

@@ -34,6 +34,7 @@ from mailspark.config import (
 DEEPEST = 30  # MLlib's limit, used where depth is open
 SVM_ITERATIONS = 100
 LR_ITERATIONS = 1000
+TOLERANCE = 1e-4
 
 
 def grid_of(**axes) -> list[dict]:
@@ -68,6 +69,7 @@ def estimator(name: str, params: dict, rows: int) -> Estimator:
             regParam=1.0 / (params["clf__C"] * rows),
             standardization=False,
             maxIter=SVM_ITERATIONS,
+            tol=TOLERANCE,
             **columns,
         )
     if name == "lr":
@@ -76,6 +78,7 @@ def estimator(name: str, params: dict, rows: int) -> Estimator:
             elasticNetParam=0.0,
             standardization=False,
             maxIter=LR_ITERATIONS,
+            tol=TOLERANCE,
             **columns,
         )
     if name == "rf":

@@ -1,7 +1,7 @@
 """TF-IDF as long tables.
 
-Term documents hold one row per mail with its repeated terms; ``term_counts``
-turns them into ``(mail, token, tf)`` rows.  Document frequencies, weights and
+Term documents hold one row per mail with its counted terms; ``term_counts``
+unfolds them into ``(mail, token, tf)`` rows.  Document frequencies, weights and
 every model that is linear in the weights are joins and aggregates over those
 rows, so neither vocabulary nor matrix has to fit anywhere as a whole.
 """
@@ -12,33 +12,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailspark.config import FeatureConfig
-from mailspark.functions.terms import term_documents
+from mailspark.functions.terms import count_terms, term_documents
 from mailspark.sources.scratch import written
 
 
 def prepared_terms(mails: DataFrame, config: FeatureConfig) -> DataFrame:
-    """Cleaned, tokenised mails as a written table; the text work is done once.
+    """Mails with counted terms in place of text, as a written table.
 
-    The raw text is spread by id first: one file may hold many long mails, and
-    the pattern work on them is what takes the time.
+    The text work is done once, row by row, without any shuffle.
     """
-    return written(term_documents(mails.repartition("id"), config), "terms")
+    return written(count_terms(term_documents(mails, config)), "terms")
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """``(…, token, tf)`` rows.
-
-    Mails already spread by id (``docs.repartition("id")``) are counted without
-    any further shuffle, and stay together for later sums per mail.
-    """
+    """``(…, token, tf)`` rows of mails with counted terms."""
     keys = [c for c in docs.columns if c != "terms"]
+    # The outer form keeps Spark from deriving a filter on the unfolded array,
+    # which would repeat the text work that made it.
     return (
-        # The outer form keeps Spark from deriving a filter on the unfolded array,
-        # which would repeat the text work that made it.
-        docs.select(*keys, F.explode_outer("terms").alias("token"))
-        .where(F.col("token").isNotNull())
-        .groupBy(*keys, "token")
-        .agg(F.count("*").alias("tf"))
+        docs.select(*keys, F.explode_outer("terms").alias("_term"))
+        .where(F.col("_term").isNotNull())
+        .select(*keys, "_term.token", "_term.tf")
     )
 
 
@@ -57,12 +51,7 @@ def kept_df(df: Column, n: Column, config: FeatureConfig) -> Column:
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
     """``token, df`` over all given mails."""
-    return (
-        docs.select(F.explode_outer(F.array_distinct("terms")).alias("token"))
-        .where(F.col("token").isNotNull())
-        .groupBy("token")
-        .agg(F.count("*").alias("df"))
-    )
+    return term_counts(docs.select("terms")).groupBy("token").agg(F.count("*").alias("df"))
 
 
 def vocabulary(docs: DataFrame, config: FeatureConfig) -> DataFrame:

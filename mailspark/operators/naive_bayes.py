@@ -94,7 +94,7 @@ def fit(
         return F.when(kept_df(df, n, config), smooth_idf(df, n)).alias(f"{view}_idf")
 
     frequencies = (
-        train.select("fold", F.explode(F.array_distinct("terms")).alias("token"))
+        term_counts(train.select("fold", "terms"))
         .groupBy("token")
         .agg(*[F.count_if(member).alias(f"{view}_df") for view, member in members.items()])
         .select("token", *[idf_of(view) for view in members])
@@ -103,6 +103,7 @@ def fit(
     vocab = written(frequencies, "vocabulary")
 
     mail = Window.partitionBy("id")
+    # Spread by id before unfolding: the sums per mail then need no shuffle of terms.
     weighted = term_counts(train.repartition("id")).join(vocab, "token")
     for view, member in members.items():
         weight = F.when(member, scaled_tf(config) * F.col(f"{view}_idf"))

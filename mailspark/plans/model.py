@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mailspark.config import HAM, SPAM, FeatureConfig
 from mailspark.functions.clean import clean_text
-from mailspark.functions.terms import add_terms
+from mailspark.functions.terms import add_terms, count_terms
 from mailspark.operators.features import linear_sums
 from mailspark.operators.naive_bayes import SCORE_DIGITS, spam_probability
 from mailspark.operators.vectors import feature_vectors
@@ -79,8 +79,8 @@ class MailModel:
 
     def score(self, mails: DataFrame) -> DataFrame:
         """Mails (id, text, …) with ``score`` and ``prediction`` added."""
-        docs = add_terms(clean_text(mails.repartition("id")), self.config).drop("clean")
-        return self.score_terms(docs)
+        docs = add_terms(clean_text(mails), self.config).drop("clean")
+        return self.score_terms(count_terms(docs))
 
 
 def save_model(model: MailModel, path: str) -> None:

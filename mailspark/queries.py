@@ -56,7 +56,7 @@ from mailspark.plans.model import load_model, save_model
 from mailspark.sources.mails import first_mails, labelled_frame, load_mails
 from mailspark.sources.reports import read_report, save_table
 from mailspark.sources.scratch import scratch_path, written
-from mailspark.sources.tables import labelled_documents, read_table
+from mailspark.sources.tables import labelled_documents, read_table, spread
 from mailspark.streaming.score import score_stream, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,7 +161,7 @@ def decoded_bytes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_texts(spark: SparkSession, sf: str) -> DataFrame:
-    pages = read_table(spark, sf, "pages").select("page_id", "html")
+    pages = spread(read_table(spark, sf, "pages").select("page_id", "html"), "page_id")
     return html_to_text(pages, "html", "text").select("page_id", "text")
 
 
@@ -170,10 +170,10 @@ def page_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents, page sources and a few literals that hold every pattern."""
-    documents = read_table(spark, sf, "documents").select(
+    documents = spread(read_table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
         F.lit("documents").alias("kind"), F.col("doc_id").alias("id"), "text"
     )
-    pages = read_table(spark, sf, "pages").select(
+    pages = spread(read_table(spark, sf, "pages").select("page_id", "html"), "page_id").select(
         F.lit("pages").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text")
     )
     literals = spark.createDataFrame(LITERALS, "id bigint, text string").select(
@@ -198,7 +198,7 @@ def cleaned_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cleaned_conversations(spark: SparkSession, sf: str) -> DataFrame:
-    turns = read_table(spark, sf, "conversations")
+    turns = spread(read_table(spark, sf, "conversations").drop("role"), "conv_id", "turn")
     return clean.clean_text(turns).select("conv_id", "turn", "clean")
 
 
@@ -222,7 +222,8 @@ def preview(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = clean.clean_text(read_table(spark, sf, "documents").select("doc_id", "text"))
+    documents = read_table(spark, sf, "documents").select("doc_id", "text")
+    cleaned = clean.clean_text(spread(documents, "doc_id"))
     found = cleaned.withColumn("tokens", word_tokens(F.col("clean")))
     return found.select(
         "doc_id", F.size("tokens").alias("n"), F.array_join("tokens", " ").alias("tokens")
@@ -230,7 +231,8 @@ def tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stop_word_removal(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = clean.clean_text(read_table(spark, sf, "documents").select("doc_id", "text"))
+    documents = read_table(spark, sf, "documents").select("doc_id", "text")
+    cleaned = clean.clean_text(spread(documents, "doc_id"))
     found = cleaned.withColumn("tokens", word_tokens(F.col("clean")))
     kept = without_stop_words(F.col("tokens"), ENGLISH_STOP_WORDS)
     return found.select("doc_id", F.array_join(kept, " ").alias("kept"))

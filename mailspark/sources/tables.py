@@ -12,9 +12,22 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(table: DataFrame, *keys: str) -> DataFrame:
+    """A scanned table, repartitioned only when it has fewer splits than there are cores.
+
+    Long texts in a few big row groups would otherwise be worked on by few tasks;
+    a table of many files is left as it is.
+    """
+    if table.rdd.getNumPartitions() >= table.sparkSession.sparkContext.defaultParallelism:
+        return table
+    return table.repartition(*keys)
+
+
 def labelled_documents(spark: SparkSession, folder: str, target: str = "toxic") -> DataFrame:
     """``documents`` with a label as mail records; ``target`` names the 0/1 label."""
-    documents = read_table(spark, folder, "documents").select("doc_id", "text", "source")
+    documents = spread(
+        read_table(spark, folder, "documents").select("doc_id", "text", "source"), "doc_id"
+    )
     labels = read_table(spark, folder, "labels").select(
         "doc_id", F.col(target).cast("int").alias("label")
     )
