@@ -53,7 +53,9 @@ def part_sizes(counts: DataFrame, test_share: float = TEST_SHARE, folds: int = F
     )
 
 
-def part_ends(mails: DataFrame, seed: int, test_share: float, folds: int) -> DataFrame:
+def part_ends(
+    mails: DataFrame, seed: int = SEED, test_share: float = TEST_SHARE, folds: int = FOLDS
+) -> DataFrame:
     """One row per label: the last digest of the test part and of each fold but the last."""
     keyed = mails.select("label", order_key(seed).alias("key")).withColumn(
         "prefix", F.substring("key", 1, PREFIX_CHARS)
@@ -96,19 +98,17 @@ def part_ends(mails: DataFrame, seed: int, test_share: float, folds: int) -> Dat
     )
 
 
-def assign_parts(
-    mails: DataFrame, seed: int = SEED, test_share: float = TEST_SHARE, folds: int = FOLDS
+def with_parts(
+    mails: DataFrame, ends: DataFrame, seed: int = SEED, folds: int = FOLDS
 ) -> DataFrame:
     """Add ``split`` (train/test) and ``fold`` (0.. for train, null for test)."""
-    ends = part_ends(mails, seed, test_share, folds)
-    key = order_key(seed)
     fold = F.lit(folds - 1)
     for f in reversed(range(folds - 1)):
         fold = F.when(F.col("_key") <= F.col(f"fold_{f}_end"), f).otherwise(fold)
     in_test = F.coalesce(F.col("_key") <= F.col("test_end"), F.lit(False))
     return (
-        mails.withColumn("_key", key)
-        .join(F.broadcast(ends), "label", "left")
+        mails.withColumn("_key", order_key(seed))
+        .join(F.broadcast(ends), "label", "left")  # one row per label
         .select(
             *mails.columns,
             F.when(in_test, "test").otherwise("train").alias("split"),
@@ -117,6 +117,13 @@ def assign_parts(
     )
 
 
+def assign_parts(
+    mails: DataFrame, seed: int = SEED, test_share: float = TEST_SHARE, folds: int = FOLDS
+) -> DataFrame:
+    """Stratified test part and folds, from the mails alone."""
+    return with_parts(mails, part_ends(mails, seed, test_share, folds), seed, folds)
+
+
 def split_counts(parts: DataFrame, by: str = "split") -> DataFrame:
     """Rows, ham and spam per value of ``by``."""
     return parts.groupBy(by).agg(

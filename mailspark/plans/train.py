@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from mailspark.operators.classifiers import GRIDS, LINEAR, estimator
 from mailspark.operators.features import prepared_terms, vocabulary
 from mailspark.operators.leaderboard import best_model, leaderboard
 from mailspark.operators.metrics import confusion, f1_score, metric_rows
-from mailspark.operators.split import assign_parts
+from mailspark.operators.split import part_ends, with_parts
 from mailspark.operators.vectors import feature_vectors, packed, with_index
 from mailspark.plans.model import MailModel, save_model
 from mailspark.sources.reports import save_table
@@ -27,8 +29,13 @@ PARALLEL_FITS = 4
 
 
 def split_mails(mails: DataFrame) -> DataFrame:
-    """Mails with ``split`` and ``fold``, written once for all that follows."""
-    return written(assign_parts(mails), "parts")
+    """Mails with ``split`` and ``fold``.
+
+    The mails are written once.  The ends of the parts (one row per label) are
+    found on two narrow columns, and the parts then follow from a projection.
+    """
+    base = written(mails, "mails")
+    return with_parts(base, written(part_ends(base), "part-ends"))
 
 
 def _indexed_vocabulary(train: DataFrame, config: FeatureConfig) -> tuple[DataFrame, int]:
@@ -36,6 +43,12 @@ def _indexed_vocabulary(train: DataFrame, config: FeatureConfig) -> tuple[DataFr
     return table, table.count()
 
 
+def _in_parallel(work: Callable, items: Sequence, threads: int) -> list:
+    """Run jobs that are each distributed side by side, as they leave cores idle alone."""
+    with ThreadPool(max(1, min(threads, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(work), items)
+
+
 def _search_classifier(
     name: str, docs: DataFrame, config: FeatureConfig, grid: Sequence[dict], folds: int
 ) -> tuple[dict, float]:
@@ -45,8 +58,8 @@ def _search_classifier(
     grid points.
     """
     train = docs.where(F.col("fold").isNotNull())
-    totals = [0.0] * len(grid)
-    for fold in range(folds):
+
+    def fold_scores(fold: int) -> list[float]:
         vocab, size = _indexed_vocabulary(train.where(F.col("fold") != fold), config)
         vectors = packed(feature_vectors(train, vocab, size, config))
         fitted = vectors.where(F.col("fold") != fold)
@@ -58,12 +71,10 @@ def _search_classifier(
             counts = confusion(model.transform(held_out).select("label", "prediction"))
             return counts.select(f1_score("tp", "fp", "fn")).first()[0]
 
-        pool = ThreadPool(min(PARALLEL_FITS, len(grid)))
-        try:
-            scores = pool.map(inheritable_thread_target(held_out_f1), grid)
-        finally:
-            pool.close()
-        totals = [total + score for total, score in zip(totals, scores)]
+        return _in_parallel(held_out_f1, grid, PARALLEL_FITS)
+
+    by_fold = _in_parallel(fold_scores, range(folds), folds)
+    totals = [sum(scores) for scores in zip(*by_fold)]
     best = max(range(len(grid)), key=lambda i: totals[i])
     return grid[best], totals[best] / folds
 
@@ -78,10 +89,9 @@ def _fit_classifier(
     if name not in LINEAR:
         return MailModel(name, config, params, cv_f1, vocab, terms=size, trees=model)
     # MLlib hands the coefficients over on the driver; they go back out as a table.
-    spark = docs.sparkSession
-    weights = spark.createDataFrame(
-        [(i, float(w)) for i, w in enumerate(model.coefficients.toArray())],
-        "index int, weight double",
+    coefficients = model.coefficients.toArray()
+    weights = docs.sparkSession.createDataFrame(
+        pa.table({"index": np.arange(size, dtype="int32"), "weight": coefficients})
     )
     table = written(
         vocab.join(weights, "index").select("token", "idf", "weight"), "linear-model"

@@ -255,7 +255,7 @@ def term_lists(config: FeatureConfig) -> Query:
 
 
 def train_terms(spark: SparkSession, sf: str, config: FeatureConfig) -> DataFrame:
-    parts = assign_parts(labelled_documents(spark, sf))
+    parts = train.split_mails(labelled_documents(spark, sf))
     return prepared_terms(parts.where(F.col("split") == "train"), config)
 
 
@@ -283,7 +283,7 @@ def feature_matrix_stats(spark: SparkSession, sf: str) -> DataFrame:
         WORD_1_2.with_changes(name="unigrams_with_stop_words", max_n=1, stop_words=()),
         CHAR_3_5,
     )
-    parts = written(assign_parts(labelled_documents(spark, sf)).where(F.col("split") == "train"), "train")
+    parts = train.split_mails(labelled_documents(spark, sf)).where(F.col("split") == "train")
     rows = None
     for config in settings:
         docs = prepared_terms(parts, config)
@@ -339,7 +339,7 @@ def keyword_baseline(spark: SparkSession, sf: str) -> DataFrame:
 def prepared_parts(
     spark: SparkSession, sf: str, config: FeatureConfig = WORD_1_2
 ) -> DataFrame:
-    return prepared_terms(assign_parts(labelled_documents(spark, sf)), config)
+    return prepared_terms(train.split_mails(labelled_documents(spark, sf)), config)
 
 
 def fitted_nb(
@@ -562,8 +562,8 @@ def streamed_keyword_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def streamed_nb_scores(spark: SparkSession, sf: str) -> DataFrame:
-    parts = assign_parts(labelled_documents(spark, sf))
-    model = train.train_model("nb", written(parts, "parts"), grid=[{"clf__alpha": ALPHA}])
+    parts = train.split_mails(labelled_documents(spark, sf))
+    model = train.train_model("nb", parts, grid=[{"clf__alpha": ALPHA}])
     return rounded(streamed(spark, sf, model).select("id", "score", "prediction"))
 
 
