@@ -12,6 +12,7 @@ import re
 import unicodedata
 from collections.abc import Callable
 from dataclasses import dataclass
+from string import ascii_letters, digits
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -70,18 +71,37 @@ NUMBERS = Step(
     rf"(?=[^ a-z])(?=\p{{Nd}})(?<![{WORD}])\p{{Nd}}+(?:[.,]\p{{Nd}}+)?(?![{WORD}])",
     " numtoken ",
 )
-BASE64_RUNS = Step(
-    "base64_runs", r"(?<![a-z/-9+A-Z])[a-z/-9+A-Z]{40,}+={0,2}", " "
-)
+# Spelt out, the class is one table look-up per character instead of a chain of ranges.
+BASE64 = f"[{ascii_letters}{digits}+/]"
+BASE64_RUNS = Step("base64_runs", rf"(?<!{BASE64}){BASE64}{{40,}}+={{0,2}}", " ")
 TAGS = Step("tags", r"<[^>]+>", " ", ("<",))
 PUNCTUATION = Step(
     "punctuation", r"([!$?])\1{2,}", "$1$1$1", ("!!!!", "$$$$", "????")
 )
-# A lone blank already is what a run of white space becomes, so it is not touched;
-# printable ASCII is ruled out first, with one cheap comparison.
-SPACES = Step(
-    "spaces", rf"(?=[^!-~])(?:[{SPACE}&&[^ ]][{SPACE}]*| [{SPACE}]+)", " "
-)
+LONG_BLANKS = Step("long_blanks", " {2,}", " ", ("  ",))
+RARE_SPACES = rf"(?=[^\x00-\x7f])[{SPACE}]"
+ASCII_SPACES = "\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+
+
+def collapse_spaces(text: Column) -> Column:
+    """Every run of white space becomes one blank.
+
+    ASCII white space is swapped for blanks by plain replacement, other kinds are
+    looked for only in text that is not all ASCII, and only runs of blanks are
+    left to a pattern.
+    """
+    for ch in ASCII_SPACES:
+        text = F.replace(text, F.lit(ch), F.lit(" "))
+    rare = F.get(
+        F.transform(
+            F.array(text),
+            lambda t: F.when(
+                F.octet_length(t) != F.length(t), F.regexp_replace(t, RARE_SPACES, " ")
+            ).otherwise(t),
+        ),
+        F.lit(0),
+    )
+    return LONG_BLANKS(rare)
 
 
 def strip_space(text: Column) -> Column:
@@ -144,7 +164,7 @@ STEPS: tuple[Callable[[Column], Column], ...] = (
     BASE64_RUNS,
     TAGS,
     PUNCTUATION,
-    SPACES,
+    collapse_spaces,
     F.trim,
 )
 

@@ -118,9 +118,11 @@ def roc_auc(scored: DataFrame, by: Sequence[str] = (), buckets: int = SCORE_BUCK
     marks = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     cuts = merged.groupBy(*names).agg(F.percentile_approx("score", marks).alias("cuts"))
     bucket = F.size(F.filter("cuts", lambda c: c < F.col("score")))
-    placed = merged.join(F.broadcast(cuts), names).select(  # one row per group
-        *names, "score", "pos", "neg", bucket.alias("bucket")
-    )
+    if by:
+        placed = merged.join(F.broadcast(cuts), names)  # one row per group
+    else:
+        placed = merged.withColumn("cuts", cuts.select("cuts").scalar())
+    placed = placed.select(*names, "score", "pos", "neg", bucket.alias("bucket"))
     lower = (
         Window.partitionBy(*names, "bucket")
         .orderBy("score")

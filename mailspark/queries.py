@@ -641,7 +641,7 @@ QUERIES: dict[str, Query] = {
     "clean_base64_runs": cleaning_step(clean.BASE64_RUNS),
     "clean_tags": cleaning_step(clean.TAGS),
     "clean_punctuation": cleaning_step(clean.PUNCTUATION),
-    "clean_spaces": cleaning_step(lambda t: F.trim(clean.SPACES(t))),
+    "clean_spaces": cleaning_step(lambda t: F.trim(clean.collapse_spaces(t))),
     "clean_text": cleaned_texts,
     "clean_conversations": cleaned_conversations,
     "content_dedup": content_dedup,

@@ -1,6 +1,7 @@
 """Terms and TF-IDF against plain Python on a small fixture."""
 
 import math
+import re
 from collections import Counter
 
 import pytest
@@ -24,6 +25,7 @@ TEXTS = {
     "c": "dog dog dog ok",
     "d": "",
     "e": "mat cat dog",
+    "f": "a 😀 b😀cd 😀😀😀 é",
 }
 
 
@@ -38,7 +40,7 @@ def python_terms(clean, config):
                     break
                 out += [padded[i : i + n] for i in range(len(padded) - n + 1)]
         return out
-    words = [w for w in clean.split() if w not in config.stop_words]
+    words = [w for w in re.findall(r"\w+", clean) if w not in config.stop_words]
     return [
         " ".join(words[i : i + n])
         for n in range(config.min_n, config.max_n + 1)
@@ -52,7 +54,8 @@ def mails(spark):
 
 
 @pytest.mark.parametrize(
-    "config", [WORD_1_2, CHAR_3_5, WORD_1_2.with_changes(max_n=3, stop_words=())]
+    "config", [WORD_1_2, CHAR_3_5, CHAR_3_5.with_changes(min_n=1), CHAR_3_5.with_changes(min_n=5, max_n=6),
+     WORD_1_2.with_changes(max_n=3, stop_words=())]
 )
 def test_terms_and_counts(mails, config):
     docs = add_terms(mails.withColumnRenamed("text", "clean"), config)
