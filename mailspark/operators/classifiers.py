@@ -1,7 +1,7 @@
 """MLlib classifiers and their parameter grids.
 
-The reference grids name each parameter; here a grid is a list of such
-dictionaries and ``estimator`` maps one to an MLlib estimator.
+A grid is a list of dictionaries, and ``estimator`` maps one to an MLlib
+estimator.  The keys are those that saved ``best_params`` show.
 """
 
 from __future__ import annotations

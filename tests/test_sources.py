@@ -9,7 +9,7 @@ from mailspark.sources.reports import read_report, save_table
 from mailspark.streaming.score import mail_file_stream, score_stream
 
 FILES = {
-    "ham/0001.farmer.ham.txt": b"Subject: hello\n\nsee you at noon",
+    "ham/a_first.txt": b"Subject: hello\n\nsee you at noon",
     "ham/deep/mail_1.txt": "chào cô".encode(),
     "ham/empty.txt": b"",
     "ham/copy.txt": b"Subject: hello\n\nsee you at noon",
@@ -34,7 +34,7 @@ def short(rows):
 def test_folders(spark, corpus):
     rows = load_mails(spark, corpus).collect()
     assert short(rows) == [
-        ("ham", "0001.farmer.ham.txt", "hello\nsee you at noon"),
+        ("ham", "a_first.txt", "hello\nsee you at noon"),
         ("ham", "copy.txt", "hello\nsee you at noon"),
         ("ham", "mail_1.txt", "chào cô"),
         ("spam", "mail_2.txt", "FREE\nclick now"),
@@ -47,7 +47,7 @@ def test_folders(spark, corpus):
 def test_folders_dedup_and_limit(spark, corpus):
     once = load_mails(spark, corpus, dedup=True).collect()
     assert [r[:2] for r in short(once)] == [
-        ("ham", "0001.farmer.ham.txt"), ("ham", "mail_1.txt"), ("spam", "mail_2.txt"),
+        ("ham", "a_first.txt"), ("ham", "mail_1.txt"), ("spam", "mail_2.txt"),
     ]
     assert load_mails(spark, corpus, limit=4).where("label = 1").count() == 1
     assert load_mails(spark, corpus, limit=0).count() == 5
