@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -54,3 +55,16 @@ def same_schema(rows: dict[str, object], like: pa.Schema) -> pa.RecordBatch:
 
 def hex_sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
+
+
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_chunks(data: bytes, size: int = SLICE_BYTES) -> Iterator[list[bytes]]:
+    """The words of a text, some at a time: lists from about ``size`` bytes each."""
+    at = 0
+    while at < len(data):
+        gap = _GAP.search(data, at + size)
+        end = gap.start() if gap else len(data)
+        yield data[at:end].split()
+        at = end

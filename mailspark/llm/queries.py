@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from mailspark.llm.common import table
 from mailspark.llm.exact_dedup import exact_duplicates
 from mailspark.llm.packing import pack
+from mailspark.llm.secret_scan import KINDS, find_secrets
+from mailspark.llm.simhash import near_duplicates
 from mailspark.llm.warc import round_trip
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -19,6 +21,40 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_secrets(table(spark, folder, "documents", "doc_id", "text", "source"))
+    names = F.array(*(F.lit(k) for k in KINDS))
+
+    def digest(spans):
+        return F.array_join(
+            F.transform(
+                spans,
+                lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["stop"]),
+            ),
+            ",",
+        )
+
+    def count(condition):
+        return F.size(F.filter("spans", condition)).cast("long")
+
+    def of_kind(kind: int):
+        return count(lambda s: s["kind"] == kind)
+
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        *(of_kind(i).alias(f"n_{k}") for i, k in enumerate(KINDS)),
+        F.sha2(digest(base).cast("binary"), 256).alias("base_sha256"),
+        digest("spans").alias("spans"),
+        count(lambda s: s["live"]).alias("n_live"),
+    )
+
+
+def simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def warc(spark: SparkSession, folder: str) -> DataFrame:
     found = round_trip(spark, table(spark, folder, "pages", "page_id", "url", "html"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -43,7 +79,9 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_secrets": secrets,
     "op5_exact_dedup": exact_dedup,
     "op8_warc": warc,
+    "op9_simhash": simhash,
     "op10_packing": packing,
 }

@@ -47,7 +47,78 @@ SELECT page_id, payload_bytes,
 FROM bits
 """
 
+_ASSIGN = (
+    r"((?i:password|passwd|secret|token|api_?key))[\"'']?\x20*[:=]\x20*[\"'']?"
+    r"([A-Za-z0-9+/_.=-]+)"
+)
+
+
+def _matches(kind: int, pattern: str, group: int) -> str:
+    return f"""
+    SELECT doc_id, source, {kind} AS kind, regexp_extract_all(t, '{pattern}') AS m,
+           string_split_regex(t, '{pattern}') AS g,
+           regexp_extract_all(t, '{pattern}', {group}) AS v
+    FROM docs"""
+
+
+SECRETS = rf"""
+WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+arrays AS ({" UNION ALL ".join((
+    _matches(0, _ASSIGN, 2),
+    _matches(1, "AKIA[A-Z0-9]{14,}", 0),
+    _matches(2, "[0-9a-f]{16,}", 0),
+    _matches(3, "[A-Za-z0-9+/_-]{20,}", 0),
+))}),
+found AS (
+    SELECT doc_id, source, kind, i, length(m[i]) AS n, length(g[i]) AS gap, v[i] AS value
+    FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM arrays)
+),
+placed AS (
+    SELECT *, stop - n AS start
+    FROM (SELECT *, sum(gap + n) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM found)
+),
+passing AS (
+    SELECT *, sha256(value) AS hash FROM placed
+    WHERE CASE kind
+        WHEN 0 THEN length(value) >= 12
+        WHEN 3 THEN regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+             AND len(list_distinct(string_split(value, ''))) >= 8
+        ELSE true END
+),
+apart AS (
+    SELECT * FROM passing p
+    WHERE kind < 3 OR NOT EXISTS (
+        SELECT 1 FROM passing b
+        WHERE b.doc_id = p.doc_id AND b.kind < 3 AND b.start < p.stop AND b.stop > p.start)
+),
+owners AS (
+    SELECT hash, count(DISTINCT coalesce(source, '')) < 5
+                 AND count(DISTINCT doc_id) < 100 AS live
+    FROM apart GROUP BY hash
+),
+spans AS (
+    SELECT doc_id, kind, live,
+           CAST(start AS BIGINT) AS start,
+           concat_ws(':', ['assign', 'access', 'hex', 'owned'][kind + 1],
+                     CAST(start AS BIGINT), CAST(stop AS BIGINT)) AS span
+    FROM apart JOIN owners USING (hash)
+    WHERE kind < 3 OR live
+)
+SELECT doc_id,
+       count(*) FILTER (kind = 0) AS n_assign,
+       count(*) FILTER (kind = 1) AS n_access,
+       count(*) FILTER (kind = 2) AS n_hex,
+       count(*) FILTER (kind = 3) AS n_owned,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3), ''))
+           AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, kind), '') AS spans,
+       count(*) FILTER (live) AS n_live
+FROM docs LEFT JOIN spans USING (doc_id)
+GROUP BY doc_id
+"""
+
 SQL = {
+    "op4_secrets": SECRETS,
     "op5_exact_dedup": EXACT_DEDUP,
     "op8_warc": WARC,
 }
