@@ -7,8 +7,9 @@ only its own splits.
 * *Route.* A document is cut into windows of the longest tier as far as it goes; its
   tail goes to the smallest tier that can hold it.
 * *Pack each tier.* A tail opens a window of its tier.
-* *Fill.* What the tail leaves open is filled from shorter tiers, the largest tail
-  that fits first; where none fits, a shorter one is cut and its rest routed anew.
+* *Fill.* What the tail leaves open is filled from shorter tiers, first with the next
+  tail of the longest tier that fits; where none fits, a short one is cut and its rest
+  routed anew.
 * *End.* What is left when the split ends fills windows of falling powers of two, so
   no window has padding.
 * *Step groups.* The windows of every tier are dealt in turn to the open groups, so
@@ -21,7 +22,9 @@ of the input are not read.
 
 from __future__ import annotations
 
+import array
 import bisect
+import os
 import re
 from collections.abc import Iterable, Iterator
 
@@ -36,8 +39,8 @@ TIERS = (128, 256, 512, 1024)
 END_ID = 0
 OPEN_GROUPS = 8
 STEP_TOKENS = 65_536
-#: Words whose ids a worker remembers; only speed depends on it.
-REMEMBERED = 300_000
+#: Words, and parts of words, whose ids a worker remembers; only speed depends on it.
+REMEMBERED = 500_000
 #: The bytes of an id: unsigned, little-endian.
 ID_BYTES = 4
 
@@ -64,43 +67,74 @@ ARROW_SCHEMA = pa.schema(
 _WIDE = re.compile(r" \s|\s ")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte.
+
+    Fixed values: printable Latin-1 bytes stand for themselves, the others for the
+    letters from 256 on.
+    """
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordTokens:
-    """Ids of texts as bytes; the words between single spaces are encoded once.
+    """Ids of texts as bytes; a worker encodes each word, and each part of it, once.
 
-    A byte-level vocabulary of this kind never joins a word with the space behind it,
-    so the ids of a text are those of its words, each with the space before it.
+    The vocabulary's own pattern cuts a text into parts that are encoded one by one.  It
+    never joins a part with a single space behind it, so the ids of a text are those of
+    its words, each with the space before it.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pattern: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        import array
-
+        self.parts_of = regex.compile(pattern).findall
+        self.letters = byte_letters()
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def encode_part(self, part: str) -> bytes:
+        found = self.tokenizer.model.tokenize(
+            part.encode().decode("latin-1").translate(self.letters)
+        )
+        return array.array("I", [t.id for t in found]).tobytes()
+
+    def encode_word(self, word: str) -> bytes:
+        ids = []
+        for part in self.parts_of(" " + word):
+            known = self.parts.get(part)
+            if known is None:
+                known = self.parts[part] = self.encode_part(part)
+            ids.append(known)
+        return b"".join(ids)
+
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [array.array("I", e.ids).tobytes() for e in found]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [None if _WIDE.search(t) else t.split(" ") for t in texts]
-        whole = [t for t, p in zip(texts, parts) if p is None]
-        whole += [p[0] for p in parts if p is not None]
-        wholes = dict(zip(whole, self.encode(whole)))
-        words: set[str] = set()
-        for p in parts:
-            if p is not None:
-                words.update(p[1:])
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self.encode([" " + w for w in new])))
-        get = self.known.__getitem__
+        split = [None if _WIDE.search(t) else t.split(" ") for t in texts]
+        whole = [t if s is None else s[0] for t, s in zip(texts, split)]
+        wholes = self.encode_texts(whole)
+        new: set[str] = set()
+        for s in split:
+            if s is not None:
+                new.update(s[1:])
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        if len(self.parts) > REMEMBERED:
+            self.parts.clear()
+        new.difference_update(self.words.keys())
+        for word in new:
+            self.words[word] = self.encode_word(word)
+        get = self.words.__getitem__
         return [
-            wholes[t] if p is None else wholes[p[0]] + b"".join(map(get, p[1:]))
-            for t, p in zip(texts, parts)
+            first if s is None else first + b"".join(map(get, s[1:]))
+            for first, s in zip(wholes, split)
         ]
 
 
@@ -197,19 +231,21 @@ class Packer:
 def pack(
     docs: DataFrame,
     tokenizer: str,
+    pattern: str,
     id_column: str = "doc_id",
     text_column: str = "text",
     tiers: tuple[int, ...] = TIERS,
 ) -> DataFrame:
     """One row per piece with its ids (as unsigned little-endian 32-bit numbers).
 
-    ``tokenizer`` is the path of a byte-level BPE file that every executor has.
+    ``tokenizer`` is the path of a byte-level BPE file that every executor has, and
+    ``pattern`` the one by which that vocabulary cuts texts.
     """
     if any(t & (t - 1) for t in tiers):
         raise ValueError("tiers must be powers of two")
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = worker_tokens(tokenizer)
+        encode = worker_tokens(tokenizer, pattern)
         packer = Packer(TaskContext.get().partitionId() << 32, tiers)
         end = END_ID.to_bytes(ID_BYTES, "little")
         for rows, texts in text_slices(batches, "text"):
@@ -228,11 +264,9 @@ def pack(
 _TOKENS: dict[str, WordTokens] = {}
 
 
-def worker_tokens(path: str) -> WordTokens:
+def worker_tokens(path: str, pattern: str) -> WordTokens:
     """One vocabulary and one memory of words per Python worker."""
     if path not in _TOKENS:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _TOKENS[path] = WordTokens(path)
+        _TOKENS[path] = WordTokens(path, pattern)
     return _TOKENS[path]

@@ -64,6 +64,7 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(
         table(spark, folder, "documents", "doc_id", "text"),
         public_tokenizers.path(BYTE_VOCABULARY),
+        public_tokenizers.PATTERN,
     )
     return pieces.select(
         "doc_id",
