@@ -296,7 +296,7 @@ def read_archives(archives: DataFrame, keep_payload: bool = False) -> DataFrame:
                             rows, size = [], 0
                     yield _rows(rows)
 
-    return archives.repartition("path").mapInArrow(
+    return archives.repartition(max(1, archives.count())).mapInArrow(
         read,
         "page_id long, url string, payload_bytes long, payload_digest string, "
         "record_type string, refers_to long, payload binary",
