@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from mailspark.llm.common import table
 from mailspark.llm.exact_dedup import exact_duplicates
+from mailspark.llm.language import held_out, language_model, predict
 from mailspark.llm.packing import pack
+from mailspark.llm.repetition import judge, measure
 from mailspark.llm.secret_scan import KINDS, find_secrets
 from mailspark.llm.simhash import near_duplicates
 from mailspark.llm.warc import round_trip
@@ -21,6 +23,12 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def repetition(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(measure(table(spark, folder, "documents", "doc_id", "text"))).drop(
+        "spans", "n_repeats", "longest_repeat"
+    )
+
+
 def secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = find_secrets(table(spark, folder, "documents", "doc_id", "text", "source"))
     names = F.array(*(F.lit(k) for k in KINDS))
@@ -60,6 +68,12 @@ def warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text", "lang")
+    found = predict(docs, language_model(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(
         table(spark, folder, "documents", "doc_id", "text"),
@@ -80,6 +94,8 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language": language,
+    "op3_repetition": repetition,
     "op4_secrets": secrets,
     "op5_exact_dedup": exact_dedup,
     "op8_warc": warc,

@@ -117,7 +117,64 @@ FROM docs LEFT JOIN spans USING (doc_id)
 GROUP BY doc_id
 """
 
+REPETITION = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+words AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs
+),
+windows AS (
+    SELECT doc_id, i,
+           CASE WHEN count(*) OVER eight = 8 THEN string_agg(word, ' ') OVER eight END AS short,
+           CASE WHEN count(*) OVER many = 51
+                THEN md5(string_agg(word, ' ') OVER many) END AS long
+    FROM words
+    WINDOW eight AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING),
+           many AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 50 FOLLOWING)
+),
+covered AS (
+    SELECT doc_id, count(DISTINCT j) AS n_repeat_words
+    FROM (
+        SELECT doc_id, unnest(range(i, i + 8)) AS j FROM (
+            SELECT doc_id, i FROM windows WHERE short IS NOT NULL
+            QUALIFY count(*) OVER (PARTITION BY doc_id, short) > 1
+        )
+    )
+    GROUP BY doc_id
+),
+too_long AS (
+    SELECT DISTINCT doc_id, true AS beyond FROM (
+        SELECT doc_id FROM windows WHERE long IS NOT NULL
+        GROUP BY doc_id, long HAVING count(*) > 1
+    )
+),
+lines AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM docs)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+    GROUP BY doc_id
+),
+counts AS (
+    SELECT doc_id, len(w) AS n_words,
+           length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words,
+           coalesce(beyond, false) AS beyond
+    FROM docs LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+    LEFT JOIN too_long USING (doc_id)
+)
+SELECT * EXCLUDE (beyond),
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT beyond AS kept
+FROM counts
+"""
+
 SQL = {
+    "op3_repetition": REPETITION,
     "op4_secrets": SECRETS,
     "op5_exact_dedup": EXACT_DEDUP,
     "op8_warc": WARC,
