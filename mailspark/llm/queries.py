@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from mailspark.llm.common import table
 from mailspark.llm.exact_dedup import exact_duplicates
+from mailspark.llm.html_text import extract
 from mailspark.llm.language import held_out, language_model, predict
 from mailspark.llm.packing import pack
 from mailspark.llm.repetition import judge, measure
@@ -68,6 +69,11 @@ def warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = extract(table(spark, folder, "pages", "page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text", "lang")
     found = predict(docs, language_model(docs))
@@ -94,6 +100,7 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": html_text,
     "op2_language": language,
     "op3_repetition": repetition,
     "op4_secrets": secrets,
