@@ -6,17 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import table
+from mailspark.llm.common import hex_sha256, table
 from mailspark.llm.exact_dedup import exact_duplicates
 from mailspark.llm.html_text import extract
 from mailspark.llm.language import held_out, language_model, predict
 from mailspark.llm.packing import pack
+from mailspark.llm.pieces import ID_BYTES, MARK, decode, encode
 from mailspark.llm.repetition import judge, measure
 from mailspark.llm.secret_scan import KINDS, find_secrets
 from mailspark.llm.simhash import near_duplicates
 from mailspark.llm.warc import round_trip
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +26,20 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text, and whether they decode to the text (space marks as spaces)."""
+    model = public_tokenizers.path(PIECE_VOCABULARY)
+    found = decode(encode(table(spark, folder, "documents", "doc_id", "text"), model), model)
+    text = F.translate(F.coalesce("text", F.lit("")), MARK, " ")
+    return found.select(
+        "doc_id",
+        F.expr(f"octet_length(ids) div {ID_BYTES}").cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        hex_sha256(F.col("decoded")).alias("decoded_sha256"),
+        (F.col("decoded") == text).alias("round_trip"),
+    )
+
+
 def repetition(spark: SparkSession, folder: str) -> DataFrame:
     return judge(measure(table(spark, folder, "documents", "doc_id", "text"))).drop(
         "spans", "n_repeats", "longest_repeat"
@@ -100,6 +116,7 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_pieces": pieces,
     "op1_html": html_text,
     "op2_language": language,
     "op3_repetition": repetition,
