@@ -43,6 +43,7 @@ REMEMBERED = 600_000
 BORDER = 0x110000
 #: Bytes of text whose new words are indexed together.
 SLICE = 4 << 20
+ID_BYTES = 4
 _RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -91,7 +92,14 @@ class Pieces:
         self.bytes = {
             int(self.texts[i][3:5], 16): i for i in range(size) if model.is_byte(i)
         }
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+        byte_of = {i: b for b, i in self.bytes.items()}
+        spelled = [
+            bytes([byte_of[i]]) if i in byte_of else t.replace(MARK, " ").encode()
+            for i, t in enumerate(self.texts)
+        ]
+        self.data = np.frombuffer(b"".join(spelled), np.uint8)
+        self.sizes = np.fromiter(map(len, spelled), np.int64, size)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.unknown = model.unk_id()
         self.by_words = not any(MARK in t.lstrip(MARK) for t in self.ids)
         self.wanted = list(self.ids.values())
@@ -267,13 +275,11 @@ class Pieces:
         return [b"".join(map(get, words)) for words in split]
 
     def decode(self, ids: bytes) -> str:
-        out: list[bytes] = []
-        for i in array.array("I", ids):
-            byte = self.byte_of.get(i)
-            out.append(
-                bytes([byte]) if byte is not None else self.texts[i].replace(MARK, " ").encode()
-            )
-        text = b"".join(out).decode(errors="replace")
+        found = np.frombuffer(ids, "<u4")
+        sizes = self.sizes[found]
+        first = self.starts[found] - (np.cumsum(sizes) - sizes)
+        text = self.data[np.repeat(first, sizes) + np.arange(sizes.sum())]
+        text = text.tobytes().decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
 
 
