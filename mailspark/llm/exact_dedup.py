@@ -95,18 +95,15 @@ def identities(docs: DataFrame, size: int = BLOCK, key=block_key) -> DataFrame:
     done = [level.where("length = 1").select("row", F.lit(0).alias("levels"), "name")]
     while (level := level.where("length > 1")).head(1):
         n = len(done)
-        pairs = written(
-            level.groupBy(
-                "row",
-                F.ceil(F.col("length") / 2).cast("int").alias("length"),
-                F.floor(F.col("pos") / 2).cast("int").alias("pos"),
-            ).agg(
-                F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("left"),
-                F.coalesce(
-                    F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)
-                ).alias("right"),
+        pairs = level.groupBy(
+            "row",
+            F.ceil(F.col("length") / 2).cast("int").alias("length"),
+            F.floor(F.col("pos") / 2).cast("int").alias("pos"),
+        ).agg(
+            F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("left"),
+            F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias(
+                "right"
             ),
-            f"pairs-{n}",
         )
         names = written(
             pairs.select("left", "right")
