@@ -15,6 +15,7 @@ from mailspark.llm.pieces import ID_BYTES, MARK, decode, encode
 from mailspark.llm.repetition import judge, measure
 from mailspark.llm.secret_scan import KINDS, find_secrets
 from mailspark.llm.simhash import near_duplicates
+from mailspark.llm.substring_dedup import repeated_passages
 from mailspark.llm.warc import round_trip
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -80,6 +81,11 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_passages(table(spark, folder, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def warc(spark: SparkSession, folder: str) -> DataFrame:
     found = round_trip(spark, table(spark, folder, "pages", "page_id", "url", "html"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -122,6 +128,7 @@ QUERIES = {
     "op3_repetition": repetition,
     "op4_secrets": secrets,
     "op5_exact_dedup": exact_dedup,
+    "op7_substring_dedup": substring_dedup,
     "op8_warc": warc,
     "op9_simhash": simhash,
     "op10_packing": packing,

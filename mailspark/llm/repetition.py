@@ -42,11 +42,14 @@ SYMBOLS = "#*$%&|<>"
 BLANK = " \t\n\v\f\r"
 
 
-def suffix_order(tokens: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+def suffix_order(
+    tokens: np.ndarray, depth: int | None = None
+) -> tuple[np.ndarray, list[np.ndarray]]:
     """The sorted suffixes, and for each round their ranks by the first 2**round tokens.
 
     A rank is the place of the first suffix with the same beginning.  Ranks have one
-    more entry, for the empty suffix.
+    more entry, for the empty suffix.  With ``depth`` suffixes are sorted by as many
+    tokens at least; equal ones stay in order of their places.
     """
     n = len(tokens)
     order = np.argsort(tokens, kind="stable")
@@ -58,7 +61,7 @@ def suffix_order(tokens: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     rounds, h = [rank.copy()], 1
     last = np.append(new[1:], True)
     open_ = np.flatnonzero(~(new & last))
-    while len(open_):
+    while len(open_) and (depth is None or h < depth):
         suffixes = order[open_]
         key = rank[suffixes] * (n + 1) + rank[np.minimum(suffixes + h, n)] + 1
         by = np.argsort(key, kind="stable")

@@ -173,9 +173,45 @@ SELECT * EXCLUDE (beyond),
 FROM counts
 """
 
+SUBSTRING_DEDUP = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+words AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs
+),
+windows AS (
+    SELECT doc_id, i, md5(text) AS h FROM (
+        SELECT doc_id, i, count(*) OVER fifty AS n, string_agg(word, ' ') OVER fifty AS text
+        FROM words
+        WINDOW fifty AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+    )
+    WHERE n = 50
+),
+repeated AS (
+    SELECT doc_id, i FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY h)
+),
+marked AS (
+    SELECT doc_id, i, word,
+           coalesce(max(r.at) OVER (PARTITION BY doc_id ORDER BY i
+                                   ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+    FROM words LEFT JOIN (SELECT doc_id, i, i AS at FROM repeated) r USING (doc_id, i)
+),
+kept AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+           string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text
+    FROM marked GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
 SQL = {
     "op3_repetition": REPETITION,
     "op4_secrets": SECRETS,
     "op5_exact_dedup": EXACT_DEDUP,
+    "op7_substring_dedup": SUBSTRING_DEDUP,
     "op8_warc": WARC,
 }
