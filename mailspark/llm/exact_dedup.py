@@ -67,9 +67,11 @@ def block_names(docs: DataFrame, size: int, seed: int, key=block_key) -> DataFra
     return None if names.where("n > 1").head(1) else names.select("key", "name")
 
 
-def identities(docs: DataFrame, size: int = BLOCK, key=block_key) -> DataFrame:
+def identities(
+    docs: DataFrame, size: int = BLOCK, key=block_key, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): row, doc_id, text_sha256, levels, name."""
-    clean = docs.select("doc_id", normalised(F.col("text")).alias("text"))
+    clean = docs.select("doc_id", normalised(F.col("text")).alias("text"), *carry)
     for seed in range(0, 2 * TRIES, 2):
         names = block_names(clean, size, seed, key)
         if names is not None:
@@ -80,6 +82,7 @@ def identities(docs: DataFrame, size: int = BLOCK, key=block_key) -> DataFrame:
         clean.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
+            *carry,
             hex_sha256(F.col("text")).alias("text_sha256"),
             F.transform(blocks_of(F.col("text"), size), lambda b: key(b, seed)).alias("keys"),
         ),
@@ -120,23 +123,30 @@ def identities(docs: DataFrame, size: int = BLOCK, key=block_key) -> DataFrame:
     found = done[0]
     for part in done[1:]:
         found = found.unionByName(part)
-    return rows.select("row", "doc_id", "text_sha256").join(found, "row")
+    return rows.drop("keys").join(found, "row")
 
 
 def exact_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = BLOCK
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    size: int = BLOCK,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256, and its identity.
 
-    Of rows that repeat both the text and the smallest id, one is kept.
+    Of rows that repeat both the text and the smallest id, one is kept.  ``carry`` names
+    further, narrow columns to return.
     """
     found = written(
         identities(
             docs.select(
                 F.col(id_column).cast("long").alias("doc_id"),
                 F.col(text_column).cast("string").alias("text"),
+                *carry,
             ),
             size,
+            carry=carry,
         ),
         "identities",
     )
@@ -157,4 +167,5 @@ def exact_duplicates(
         "row",
         "levels",
         "name",
+        *carry,
     )

@@ -21,10 +21,11 @@ get repeated results; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -263,19 +264,13 @@ def best_labels(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.nda
     return found
 
 
-SCHEMA = (
-    "doc_id long, lang_pred string, score double, "
-    "spans array<struct<start: long, stop: long, lang: string>>"
-)
+def verdicts(model: Model, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
+    """Of each text: its language, the score, and spans of words with their languages."""
+    words = split_words(texts)
+    table = model.word_scores(words)
+    labels = best_labels([table[ids] for ids in words.ids])
 
-
-def predict(
-    docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """doc_id, lang_pred, score, and spans of words with their languages."""
-    span = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())])
-
-    def one(labels: np.ndarray, letters: np.ndarray) -> tuple:
+    def verdict(labels: np.ndarray, letters: np.ndarray) -> tuple[str, float, list[dict]]:
         if not letters.sum() or not model.langs:
             return UNKNOWN, 0.0, []
         share = np.bincount(labels, letters, len(model.langs))
@@ -287,12 +282,24 @@ def predict(
         ]
         return model.langs[best], float(share[best] / share.sum()), spans
 
+    return [verdict(x, words.letters[ids]) for x, ids in zip(labels, words.ids)]
+
+
+SCHEMA = (
+    "doc_id long, lang_pred string, score double, "
+    "spans array<struct<start: long, stop: long, lang: string>>"
+)
+
+
+def predict(
+    docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """doc_id, lang_pred, score, and spans of words with their languages."""
+    span = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches, "text", SLICE):
-            words = split_words(texts)
-            table = model.word_scores(words)
-            labels = best_labels([table[ids] for ids in words.ids])
-            found = [one(x, words.letters[ids]) for x, ids in zip(labels, words.ids)]
+            found = verdicts(model, texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc_id"),
@@ -309,6 +316,21 @@ def predict(
     ).mapInArrow(run, SCHEMA)
 
 
+def language_column(model: Model) -> Callable[[Column], Column]:
+    """A function from a text column to a struct of lang_pred and score."""
+
+    @F.pandas_udf("lang_pred string, score double")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = pa.RecordBatch.from_arrays([pa.array(batch, pa.string())], ["text"])
+            parts = []
+            for _, texts in text_slices([rows], "text", SLICE):
+                parts.extend(verdict[:2] for verdict in verdicts(model, texts))
+            yield pd.DataFrame(parts, columns=["lang_pred", "score"])
+
+    return found
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that nothing is learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -200,10 +200,12 @@ def mask_secrets(
     text_column: str = "text",
     owner_column: str = "source",
     repository_column: str = "doc_id",
+    length_column: str | None = None,
 ) -> DataFrame:
     """The same rows and columns; live-looking values in the text are replaced by a mask.
 
-    Examples stay.  Rows without a live-looking value are returned as they are.
+    Examples stay.  Rows without a live-looking value are returned as they are.  In the
+    others ``length_column`` gets the new length of the text in code points.
     """
     text = F.col(text_column)
     hits, judged = _hits(docs, text_column, owner_column, repository_column)
@@ -214,12 +216,14 @@ def mask_secrets(
         .select("row", F.transform(F.array_sort("live"), lambda v: v["value"]).alias("live"))
     )
     masked = F.aggregate("live", F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK)))
-    changed = hits.join(values, "row", "left").select(
-        *(
-            F.when(F.col("live").isNull(), F.col("text")).otherwise(masked).alias(c)
-            if c == text_column
-            else F.col(f"doc.`{c}`").alias(c)
-            for c in docs.columns
-        )
-    )
+    news = {text_column: masked, length_column: F.length(masked)}
+
+    def value(column: str) -> Column:
+        old = F.col(f"doc.`{column}`")
+        if column not in news:
+            return old.alias(column)
+        new = news[column].cast(docs.schema[column].dataType)
+        return F.when(F.col("live").isNull(), old).otherwise(new).alias(column)
+
+    changed = hits.join(values, "row", "left").select(*map(value, docs.columns))
     return docs.where(~F.coalesce(text, F.lit("")).rlike(ANY)).unionByName(changed)

@@ -82,17 +82,22 @@ def bit_counts(values: np.ndarray) -> np.ndarray:
     return bits.sum(axis=0, dtype=np.int32)
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+def fingerprints(
+    docs: DataFrame, size: int = SHINGLE_WORDS, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, the carried columns, and fp, the fingerprint as a signed long."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches, "text"):
             values = np.array([fingerprint(t, size) for t in texts], np.uint64)
+            kept = ["doc_id", *carry]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fp"]
+                [*(rows.column(c) for c in kept), pa.array(values.view(np.int64))], [*kept, "fp"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    docs = docs.select("doc_id", *carry, "text")
+    schema = ", ".join(f"`{n}` {t}" for n, t in docs.drop("text").dtypes)
+    return docs.mapInArrow(run, f"{schema}, fp long")
 
 
 def chosen_bits(points: DataFrame, n: int) -> list[int]:
@@ -220,18 +225,23 @@ def near_duplicates(
     id_column: str = "doc_id",
     text_column: str = "text",
     shingle_words: int = SHINGLE_WORDS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document: doc_id, fp, fingerprint (hex), component_id.
+    """One row per document: doc_id, fingerprint (hex), component_id, component.
 
-    Fingerprints link at ``MAX_BITS`` or fewer differing bits.
+    Fingerprints link at ``MAX_BITS`` or fewer differing bits.  ``component`` tells the
+    components apart, also those without an id.  ``carry`` names further, narrow columns
+    to return.
     """
     found = written(
         fingerprints(
             docs.select(
                 F.col(id_column).cast("long").alias("doc_id"),
                 F.col(text_column).cast("string").alias("text"),
+                *carry,
             ),
             shingle_words,
+            carry,
         ),
         "fingerprints",
     )
@@ -245,10 +255,11 @@ def near_duplicates(
         roots.select(F.col("node").alias("fp"), "root"), "fp", "left"
     ).withColumn("root", F.coalesce("root", "fp"))
     least = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = classes.join(least, "root").select("fp", "component_id")
+    by_fp = classes.join(least, "root").select("fp", "component_id", "root")
     return found.join(by_fp, "fp").select(
         "doc_id",
-        "fp",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
+        F.col("root").alias("component"),
+        *carry,
     )
