@@ -14,7 +14,7 @@ their names.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mailspark.llm.common import hex_sha256
@@ -29,21 +29,26 @@ from mailspark.sources.scratch import written
 LEAST_SCORE = 0.5
 LAST = (1 << 63) - 1
 
-_ORDER = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-_TEXT_KEY = hex_sha256(F.coalesce(F.col("text"), F.lit("")))
+
+def _order() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+
+
+def _text_key() -> Column:
+    return hex_sha256(F.coalesce(F.col("text"), F.lit("")))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", _TEXT_KEY.alias("text_key"))
+    return docs.select("doc_id", "text", _text_key().alias("text_key"))
 
 
 def _kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, text_key) is kept; one of rows that repeat both."""
-    wanted = kept.select(_ORDER.alias("ord"), F.col("text_key").alias("key"))
+    wanted = kept.select(_order().alias("ord"), F.col("text_key").alias("key"))
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
-        _ORDER.alias("ord"),
-        _TEXT_KEY.alias("key"),
+        _order().alias("ord"),
+        _text_key().alias("key"),
     )
     same = Window.partitionBy("ord", "key").orderBy("key")
     return (
