@@ -266,12 +266,14 @@ def best_labels(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.nda
 
 def verdicts(model: Model, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
     """Of each text: its language, the score, and spans of words with their languages."""
+    if not model.langs:
+        return [(UNKNOWN, 0.0, []) for _ in texts]
     words = split_words(texts)
     table = model.word_scores(words)
     labels = best_labels([table[ids] for ids in words.ids])
 
     def verdict(labels: np.ndarray, letters: np.ndarray) -> tuple[str, float, list[dict]]:
-        if not letters.sum() or not model.langs:
+        if not letters.sum():
             return UNKNOWN, 0.0, []
         share = np.bincount(labels, letters, len(model.langs))
         best = int(share.argmax())

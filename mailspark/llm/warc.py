@@ -25,10 +25,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 
 import pyarrow as pa
 from pyarrow import fs
@@ -218,7 +220,7 @@ def _archive_writer(folder: str) -> Callable:
 
 
 def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+    return path if re.match(r"[a-z][a-z0-9+.-]*:", path) else Path(path).absolute().as_uri()
 
 
 def write_archives(
