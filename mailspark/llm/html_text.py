@@ -95,6 +95,7 @@ CLOSES = {
 WALLS = frozenset("article aside body div html main nav ol section table ul dl".split())
 TEXT = "#text"
 PARTS = re.compile(r"[a-z]+")
+UNENDED = re.compile(r"<[a-zA-Z/!?]")
 
 
 class Node:
@@ -204,8 +205,11 @@ class TreeBuilder(HTMLParser):
 
 
 def parse(html: str) -> Node:
+    """The tree of a page; a comment or tag that never ends is no text."""
     builder = TreeBuilder()
     builder.feed(html)
+    if not builder.silent and UNENDED.match(builder.rawdata):
+        builder.rawdata = ""
     builder.close()
     builder.flush()
     return builder.root
