@@ -25,7 +25,6 @@ from __future__ import annotations
 import array
 import bisect
 import os
-import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -40,7 +39,7 @@ END_ID = 0
 OPEN_GROUPS = 8
 STEP_TOKENS = 65_536
 #: Words, and parts of words, whose ids a worker remembers; only speed depends on it.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 #: The bytes of an id: unsigned, little-endian.
 ID_BYTES = 4
 
@@ -62,10 +61,6 @@ ARROW_SCHEMA = pa.schema(
     ]
 )
 
-#: A space beside other white space: there the vocabulary's word pattern looks beyond
-#: the space, so such a text isn't cut at its spaces.
-_WIDE = re.compile(r" \s|\s ")
-
 
 def byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte.
@@ -78,64 +73,71 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class WordTokens:
-    """Ids of texts as bytes; a worker encodes each word, and each part of it, once.
+class _Wide(Exception):
+    """A space beside other white space."""
+
+
+class WordTokens(dict):
+    """Ids of texts as bytes; a worker encodes each word once and remembers it here.
 
     The vocabulary's own pattern cuts a text into parts that are encoded one by one.  It
     never joins a part with a single space behind it, so the ids of a text are those of
-    its words, each with the space before it.
+    its words, each with the space before it.  Where a space stands beside other white
+    space the pattern looks beyond it; such a text is encoded as a whole.
     """
 
     def __init__(self, path: str, pattern: str):
         import regex
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.tokenize = self.tokenizer.model.tokenize
         self.parts_of = regex.compile(pattern).findall
         self.letters = byte_letters()
-        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha():
+            ids = self.encode_part(" " + word)
+        elif not word or word[0].isspace() or word[-1].isspace():
+            raise _Wide
+        else:
+            ids = b"".join(map(self.known_part, self.parts_of(" " + word)))
+        self[word] = ids
+        return ids
+
     def encode_part(self, part: str) -> bytes:
-        found = self.tokenizer.model.tokenize(
-            part.encode().decode("latin-1").translate(self.letters)
-        )
+        found = self.tokenize(part.encode().decode("latin-1").translate(self.letters))
         return array.array("I", [t.id for t in found]).tobytes()
 
-    def encode_word(self, word: str) -> bytes:
-        ids = []
-        for part in self.parts_of(" " + word):
-            known = self.parts.get(part)
-            if known is None:
-                known = self.parts[part] = self.encode_part(part)
-            ids.append(known)
-        return b"".join(ids)
-
-    def encode_texts(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [array.array("I", e.ids).tobytes() for e in found]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if _WIDE.search(t) else t.split(" ") for t in texts]
-        whole = [t if s is None else s[0] for t, s in zip(texts, split)]
-        wholes = self.encode_texts(whole)
-        new: set[str] = set()
-        for s in split:
-            if s is not None:
-                new.update(s[1:])
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
+    def known_part(self, part: str) -> bytes:
+        if part[0] == " " and part[1:].isalpha():
+            return self[part[1:]]
+        known = self.parts.get(part)
+        if known is None:
+            known = self.parts[part] = self.encode_part(part)
+        return known
+
+    def encode_text(self, text: str) -> bytes:
+        first, *words = text.split(" ")
+        try:
+            if first[-1:].isspace():
+                raise _Wide
+            return b"".join(map(self.known_part, self.parts_of(first))) + b"".join(
+                map(self.__getitem__, words)
+            )
+        except _Wide:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return array.array("I", ids).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self) > REMEMBERED:
+            self.clear()
         if len(self.parts) > REMEMBERED:
             self.parts.clear()
-        new.difference_update(self.words.keys())
-        for word in new:
-            self.words[word] = self.encode_word(word)
-        get = self.words.__getitem__
-        return [
-            first if s is None else first + b"".join(map(get, s[1:]))
-            for first, s in zip(wholes, split)
-        ]
+        return [self.encode_text(t) for t in texts]
 
 
 class Packer:
@@ -245,7 +247,7 @@ def pack(
         raise ValueError("tiers must be powers of two")
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = worker_tokens(tokenizer, pattern)
+        encode = worker_tokens(tokenizer, pattern).encode
         packer = Packer(TaskContext.get().partitionId() << 32, tiers)
         end = END_ID.to_bytes(ID_BYTES, "little")
         for rows, texts in text_slices(batches, "text"):
