@@ -42,7 +42,7 @@ REMEMBERED = 600_000
 #: Stands between words in the index; no code point.
 BORDER = 0x110000
 #: Bytes of text whose new words are indexed together.
-SLICE = 4 << 20
+SLICE = 2 << 20
 ID_BYTES = 4
 _RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -195,8 +195,10 @@ class Pieces:
         begins = ends - sizes
         text[ends] = BORDER
         starts, length, piece = self.edges(text)
-        offset = starts - begins[np.searchsorted(ends, starts)]
-        by = np.argsort(offset, kind="stable")
+        word = np.repeat(np.arange(len(words)), sizes + 1)
+        offset = starts - begins[word[starts]]
+        narrow = np.uint16 if sizes.max(initial=0) < 1 << 16 else np.int64
+        by = np.argsort(offset.astype(narrow), kind="stable")
         starts, length, piece, offset = starts[by], length[by], piece[by], offset[by]
         steps = np.searchsorted(offset, np.arange(int(sizes.max(initial=0)) + 1))
         # The last piece of the encoding up to a place, and where that piece begins.
@@ -218,7 +220,7 @@ class Pieces:
         while len(place):
             before = came[place]
             at_start[before] = last_piece[place]
-            place = before[before > begins[np.searchsorted(ends, before)]]
+            place = before[before > begins[word[before]]]
         chosen = np.flatnonzero(at_start != none)
         ids = at_start[chosen]
         bounds = np.searchsorted(chosen, np.append(begins, len(text)))
@@ -292,27 +294,38 @@ def worker_pieces(path: str) -> Pieces:
     return _PIECES[path]
 
 
-def encode(
-    docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """doc_id, text and ids (unsigned little-endian 32-bit numbers) of every text."""
-
+def _coded(docs: DataFrame, model: str, id_column: str, text_column: str, back: bool) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = worker_pieces(model)
         for rows, texts in text_slices(batches, "text", SLICE):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id"),
-                    rows.column("text"),
-                    pa.array(pieces.encode(texts), pa.binary()),
-                ],
-                ["doc_id", "text", "ids"],
-            )
+            ids = pieces.encode(texts)
+            columns = [rows.column("doc_id"), rows.column("text"), pa.array(ids, pa.binary())]
+            names = ["doc_id", "text", "ids"]
+            if back:
+                columns.append(pa.array(map(pieces.decode, ids), pa.string()))
+                names.append("decoded")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(text_column).cast("string").alias("text"),
-    ).mapInArrow(run, "doc_id long, text string, ids binary")
+    ).mapInArrow(
+        run, "doc_id long, text string, ids binary" + ", decoded string" * back
+    )
+
+
+def encode(
+    docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """doc_id, text and ids (unsigned little-endian 32-bit numbers) of every text."""
+    return _coded(docs, model, id_column, text_column, back=False)
+
+
+def encode_and_decode(
+    docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """As ``encode``, and decoded, the text of the ids, by the same worker."""
+    return _coded(docs, model, id_column, text_column, back=True)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:

@@ -11,7 +11,7 @@ from mailspark.llm.exact_dedup import exact_duplicates
 from mailspark.llm.html_text import extract
 from mailspark.llm.language import held_out, language_model, predict
 from mailspark.llm.packing import pack
-from mailspark.llm.pieces import ID_BYTES, MARK, decode, encode
+from mailspark.llm.pieces import ID_BYTES, MARK, encode_and_decode
 from mailspark.llm.repetition import judge, measure
 from mailspark.llm.secret_scan import KINDS, find_secrets
 from mailspark.llm.simhash import near_duplicates
@@ -30,7 +30,7 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, and whether they decode to the text (space marks as spaces)."""
     model = public_tokenizers.path(PIECE_VOCABULARY)
-    found = decode(encode(table(spark, folder, "documents", "doc_id", "text"), model), model)
+    found = encode_and_decode(table(spark, folder, "documents", "doc_id", "text"), model)
     text = F.translate(F.coalesce("text", F.lit("")), MARK, " ")
     return found.select(
         "doc_id",
