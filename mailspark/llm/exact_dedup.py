@@ -154,7 +154,8 @@ def exact_duplicates(
     groups = found.groupBy("levels", "name").agg(
         F.count(F.lit(1)).alias("group_size"), F.min(first).alias("first")
     )
-    many = groups.where("group_size > 1")
+    # Written, so that the join is dealt on its own and a large group can be split there.
+    many = written(groups.where("group_size > 1"), "copies")
     joined = found.join(many, ["levels", "name"], "left")
     return joined.select(
         "doc_id",
