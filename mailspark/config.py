@@ -12,6 +12,7 @@ HAM, SPAM = 0, 1
 DECISION_MARGIN = 0.12
 PREVIEW_CHARS = 220
 
+# Words of the keyword baseline.
 KEYWORDS = (
     "free",
     "winner",
@@ -25,6 +26,7 @@ KEYWORDS = (
     "viagra",
 )
 
+# The grids that are searched.
 NB_ALPHAS = (0.1, 0.5, 1.0)
 SVM_COSTS = (0.1, 1.0, 3.0, 10.0)
 LR_COSTS = (0.1, 1.0, 10.0)
@@ -38,6 +40,7 @@ BOOST_RATES = (0.1, 0.3)
 BOOST_ROW_SHARES = (0.8, 1.0)
 BOOST_FEATURE_SHARES = (0.8, 1.0)
 
+# Names that reports show, and their columns.
 MODEL_LABELS = {
     "majority": "Majority Baseline",
     "keyword": "Keyword Baseline",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,10 @@ def word_ngrams(tokens: Column, n: int) -> Column:
     return grams
 
 
+#: Characters from which a word is cut into single characters before its n-grams.
+LONG_WORD = 64
+
+
 def char_ngrams(clean: Column, min_n: int, max_n: int) -> Column:
     """Character n-grams inside each word, the word padded by a blank on both sides.
 
@@ -40,8 +46,7 @@ def char_ngrams(clean: Column, min_n: int, max_n: int) -> Column:
     """
     words = F.filter(F.split(clean, " "), lambda w: F.length(w) > 0)
 
-    def grams_of(word: Column) -> Column:
-        padded = F.concat(F.lit(" "), word, F.lit(" "))
+    def cut(word: Column, gram: Callable[[Column, Column], Column]) -> Column:
         size = F.length(word) + 2
         sizes = F.sequence(F.lit(min_n), F.greatest(F.lit(min_n), F.least(F.lit(max_n), size)))
         return F.flatten(
@@ -49,11 +54,29 @@ def char_ngrams(clean: Column, min_n: int, max_n: int) -> Column:
                 sizes,
                 lambda n: F.transform(
                     F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))),
-                    lambda at: F.substring(padded, at, n),
+                    lambda at: gram(at, n),
                 ),
             )
         )
 
+    def padded(word: Column) -> Column:
+        return F.concat(F.lit(" "), word, F.lit(" "))
+
+    def of_long(word: Column) -> Column:
+        # A substring is looked for from the start of the word each time; slices of the
+        # word's characters aren't.  The array is bound once, to a lambda variable.
+        characters = F.array(F.split(padded(word), ""))
+        return F.flatten(
+            F.transform(
+                characters,
+                lambda c: cut(word, lambda at, n: F.array_join(F.slice(c, at, n), "")),
+            )
+        )
+
+    def grams_of(word: Column) -> Column:
+        short = cut(word, lambda at, n: F.substring(padded(word), at, n))
+        return F.when(F.length(word) < LONG_WORD, short).otherwise(of_long(word))
+
     return F.flatten(F.transform(words, grams_of))
 
 

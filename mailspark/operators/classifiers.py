@@ -6,6 +6,7 @@ estimator.  The keys are those that saved ``best_params`` show.
 
 from __future__ import annotations
 
+import warnings
 from itertools import product
 
 from pyspark.ml.base import Estimator
@@ -31,8 +32,9 @@ from mailspark.config import (
     SVM_COSTS,
 )
 
-DEEPEST = 30  # MLlib's limit, used where depth is open
-SVM_ITERATIONS = 100
+#: MLlib's own limit on the depth of a tree, used where depth is open.
+DEEPEST = 30
+SVM_ITERATIONS = 1000
 LR_ITERATIONS = 1000
 TOLERANCE = 1e-4
 
@@ -62,7 +64,10 @@ LINEAR = ("svm", "lr")
 
 
 def estimator(name: str, params: dict, rows: int) -> Estimator:
-    """The estimator for one grid point; ``rows`` turns a cost into a penalty."""
+    """The estimator for one grid point; ``rows`` turns a cost into a penalty.
+
+    A forest whose depth is open grows to MLlib's limit of ``DEEPEST`` levels.
+    """
     columns = {"featuresCol": "features", "labelCol": "label"}
     if name == "svm":
         return LinearSVC(
@@ -101,3 +106,13 @@ def estimator(name: str, params: dict, rows: int) -> Estimator:
             **columns,
         )
     raise ValueError(f"unknown model name: {name}")
+
+
+def warn_unconverged(name: str, params: dict, model) -> None:
+    """Say so when a linear solver used up its iterations."""
+    most = {"svm": SVM_ITERATIONS, "lr": LR_ITERATIONS}.get(name)
+    if most is None:
+        return
+    used = model.summary().totalIterations if name == "svm" else model.summary.totalIterations
+    if used >= most:
+        warnings.warn(f"{name} {params} stopped after {used} iterations", stacklevel=2)

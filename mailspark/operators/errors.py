@@ -10,19 +10,6 @@ from mailspark.functions.clean import SPACE
 from mailspark.operators.metrics import DIGITS
 from mailspark.sources.mails import label_name
 
-ERROR_COLUMNS = (
-    "id",
-    "path",
-    "true_name",
-    "predicted_name",
-    "score",
-    "confidence",
-    "length_chars",
-    "length_words",
-    "text_preview",
-)
-
-
 def word_count(text: Column) -> Column:
     """White-space separated words."""
     return F.size(F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != ""))

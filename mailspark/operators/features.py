@@ -94,28 +94,27 @@ def linear_sums(
     vector with that weight column of ``table``.
 
     The mail's length is summed beside the products and divided out at the end,
-    so one join and one combined aggregate do all the work.  A mail without any
-    known term gets 0.
+    so one join and one combined aggregate do all the work.  The other columns of
+    a mail go through the aggregate with it, so ``docs`` is read once; ids must be
+    unique, and a long text is better left out.  A mail without any known term
+    gets 0.
     """
     products = {name: f"_sum_{i}" for i, name in enumerate(weights)}
     length = F.sum(F.col("_w") * F.col("_w"))
-    used = [c for c in ("id", "fold", "terms") if c in docs.columns]
-    sums = (
-        term_counts(docs.select(*used))
-        .join(table, "token")
+    kept = [c for c in docs.columns if c != "terms"]
+    rest = [c for c in kept if c != "id"]
+    norm = F.sqrt("_length") if config.l2_norm else F.lit(1.0)
+    return (
+        docs.select(*kept, F.explode_outer("terms").alias("_term"))
+        .select(*kept, "_term.token", "_term.tf")
+        .join(table, "token", "left")
         .withColumn("_w", scaled_tf(config) * idf)
-        .where(F.col("_w").isNotNull())
         .groupBy("id")
         .agg(
+            *[F.any_value(c).alias(c) for c in rest],
             length.alias("_length"),
             *[F.sum(F.col("_w") * weights[n]).alias(products[n]) for n in weights],
         )
-    )
-    norm = F.sqrt("_length") if config.l2_norm else F.lit(1.0)
-    kept = [c for c in docs.columns if c != "terms"]
-    return (
-        docs.select(*kept)
-        .join(sums, "id", "left")
         .select(
             *kept,
             *[F.coalesce(F.col(products[n]) / norm, F.lit(0.0)).alias(n) for n in weights],

@@ -23,6 +23,12 @@ SCORE_DIGITS = 12
 FINAL = "final"
 
 
+def check_folds(last_fold: int | None, folds: int | None) -> None:
+    """The folds asked for must be those the mails were dealt to."""
+    if folds is not None and last_fold is not None and last_fold + 1 != folds:
+        raise ValueError(f"the mails have {last_fold + 1} folds, not {folds}")
+
+
 def view_members(folds: int | None) -> dict[str, Column]:
     """Which mails train each view; ``fold`` is null for mails that train nothing."""
     in_train = F.col("fold").isNotNull()
@@ -78,12 +84,14 @@ def fit(
     members = view_members(folds)
     train = docs.where(F.col("fold").isNotNull()).select("id", "label", "fold", "terms")
     mails = train.agg(
+        F.max("fold").alias("last_fold"),
         *[
             F.count_if(member & (F.col("label") == label)).alias(f"{view}_{label}")
             for view, member in members.items()
             for label in (HAM, SPAM)
         ]
     ).first().asDict()
+    check_folds(mails.pop("last_fold"), folds)
     for name, n in mails.items():
         if not n:
             raise ValueError(f"no training mails for view_label {name}")
@@ -205,8 +213,9 @@ def fold_scores(scored: DataFrame) -> DataFrame:
 
 
 def grid_scores(folds: DataFrame) -> DataFrame:
-    """Mean F1 over the folds per smoothing value."""
-    return folds.groupBy("alpha").agg(F.avg("f1_spam").alias("cv_f1"))
+    """Mean F1 over the folds per smoothing value, rounded so that equal means tie."""
+    mean = F.round(F.avg("f1_spam"), SCORE_DIGITS)
+    return folds.groupBy("alpha").agg(mean.alias("cv_f1"))
 
 
 def best_alpha(grid: DataFrame, alphas: tuple[float, ...]) -> tuple[float, float]:

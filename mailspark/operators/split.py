@@ -161,7 +161,11 @@ def sample_mail(mails: DataFrame, label: str, seed: int = SEED) -> DataFrame:
 
 
 def parse_preview(mails: DataFrame) -> DataFrame:
-    """The first mail by path of each label: raw and cleaned beginnings."""
+    """The first mail by path of each label: its parsed subject, raw and cleaned beginnings.
+
+    Mails that came without a subject have an empty one.
+    """
+    subject = F.coalesce("subject", F.lit("")) if "subject" in mails.columns else F.lit("")
     first = mails.groupBy("label_name").agg(
         F.min(F.struct("path", "id")).alias("first")
     ).select("first.id")
@@ -169,7 +173,7 @@ def parse_preview(mails: DataFrame) -> DataFrame:
     return clean_text(chosen).select(
         F.col("label_name").alias("label"),
         F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.substring(F.substring_index("text", "\n", 1), 1, 120).alias("subject"),
+        F.substring(subject, 1, 120).alias("subject"),
         F.substring("text", 1, 240).alias("raw_preview"),
         F.substring("clean", 1, 240).alias("clean_preview"),
     )

@@ -14,8 +14,12 @@ from mailspark.operators.features import tfidf
 from mailspark.sources.scratch import written
 
 INDEX_BUCKETS = 4096
-CELL_BYTES = 12
-PART_BYTES = 64 << 20
+# Partitions of the solvers' table follow the number of mails alone, so that a fit
+# doesn't depend on cores, files or bytes: few mails make short tasks, so there are 2
+# parts at least and 64 at most of few mails, and then as many as full parts need.
+FEW_MAILS_PER_PART = 250
+MAILS_PER_PART = 20_000
+LARGEST_INDEX = (1 << 31) - 1
 
 
 def with_index(vocab: DataFrame) -> DataFrame:
@@ -69,7 +73,21 @@ def feature_vectors(
 
 
 def packed(vectors: DataFrame) -> DataFrame:
-    """Fewer, fuller partitions for the iterative solvers, by the data's own size."""
-    indices = F.unwrap_udt("features").getField("indices")
-    cells = vectors.agg(F.sum(F.size(indices))).first()[0] or 0
-    return vectors.coalesce(max(1, math.ceil(cells * CELL_BYTES / PART_BYTES)))
+    """The vectors dealt by a hash of their id, each part in order of id.
+
+    MLlib draws its samples by partition and row, so the same mails give the same
+    model however they were stored.
+    """
+    return vectors.repartition(solver_parts(vectors.count()), "id").sortWithinPartitions("id")
+
+
+def solver_parts(mails: int) -> int:
+    few = min(64, math.ceil(mails / FEW_MAILS_PER_PART))
+    return max(2, few, math.ceil(mails / MAILS_PER_PART))
+
+
+def checked_size(size: int) -> int:
+    """The size of a vocabulary, which MLlib's vectors must be able to index."""
+    if size > LARGEST_INDEX:
+        raise ValueError(f"{size} terms; MLlib's vectors hold {LARGEST_INDEX}: raise min_df")
+    return size

@@ -77,10 +77,17 @@ class MailModel:
             F.col("prediction").cast("int").alias("prediction"),
         )
 
-    def score(self, mails: DataFrame) -> DataFrame:
-        """Mails (id, text, …) with ``score`` and ``prediction`` added."""
-        docs = add_terms(clean_text(mails), self.config).drop("clean")
-        return self.score_terms(count_terms(docs))
+    def score(self, mails: DataFrame, keep_text: bool = True) -> DataFrame:
+        """Mails (id, text, …) with ``score`` and ``prediction`` added; ids are unique.
+
+        Without ``keep_text`` the mails are read once and no text is moved.
+        """
+        docs = add_terms(clean_text(mails), self.config).drop("clean", "text")
+        scored = self.score_terms(count_terms(docs))
+        if not keep_text:
+            return scored
+        news = [c for c in scored.columns if c not in mails.columns]
+        return mails.join(scored.select("id", *news), "id")
 
 
 def save_model(model: MailModel, path: str) -> None:

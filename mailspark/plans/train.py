@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from mailspark.config import EXPERIMENTS, FOLDS, NB_ALPHAS, WORD_1_2, FeatureConfig
 from mailspark.operators import naive_bayes
 from mailspark.operators.baselines import keyword_predictions, majority_predictions
-from mailspark.operators.classifiers import GRIDS, LINEAR, estimator
+from mailspark.operators.classifiers import GRIDS, LINEAR, estimator, warn_unconverged
 from mailspark.operators.features import prepared_terms, vocabulary
 from mailspark.operators.leaderboard import best_model, leaderboard
 from mailspark.operators.metrics import confusion, f1_score, metric_rows
 from mailspark.operators.split import part_ends, with_parts
-from mailspark.operators.vectors import feature_vectors, packed, with_index
+from mailspark.operators.vectors import checked_size, feature_vectors, packed, with_index
 from mailspark.plans.model import MailModel, save_model
 from mailspark.sources.reports import save_table
 from mailspark.sources.scratch import written
@@ -28,6 +28,19 @@ MODEL_ORDER = ("majority", "keyword", "nb", "svm", "rf", "lr", "xgb")
 PARALLEL_FITS = 4
 
 
+class TermTables:
+    """The counted terms of some mails, written once for each feature configuration."""
+
+    def __init__(self, mails: DataFrame):
+        self.mails = mails
+        self.tables: dict[FeatureConfig, DataFrame] = {}
+
+    def of(self, config: FeatureConfig) -> DataFrame:
+        if config not in self.tables:
+            self.tables[config] = prepared_terms(self.mails, config)
+        return self.tables[config]
+
+
 def split_mails(mails: DataFrame) -> DataFrame:
     """Mails with ``split`` and ``fold``.
 
@@ -40,7 +53,7 @@ def split_mails(mails: DataFrame) -> DataFrame:
 
 def _indexed_vocabulary(train: DataFrame, config: FeatureConfig) -> tuple[DataFrame, int]:
     table = written(with_index(vocabulary(train, config)), "vocabulary")
-    return table, table.count()
+    return table, checked_size(table.count())
 
 
 def _in_parallel(work: Callable, items: Sequence, threads: int) -> list:
@@ -58,6 +71,7 @@ def _search_classifier(
     grid points.
     """
     train = docs.where(F.col("fold").isNotNull())
+    naive_bayes.check_folds(train.agg(F.max("fold")).first()[0], folds)
 
     def fold_scores(fold: int) -> list[float]:
         vocab, size = _indexed_vocabulary(train.where(F.col("fold") != fold), config)
@@ -68,15 +82,18 @@ def _search_classifier(
 
         def held_out_f1(params: dict) -> float:
             model = estimator(name, params, rows).fit(fitted)
+            warn_unconverged(name, params, model)
             counts = confusion(model.transform(held_out).select("label", "prediction"))
             return counts.select(f1_score("tp", "fp", "fn")).first()[0]
 
         return _in_parallel(held_out_f1, grid, PARALLEL_FITS)
 
     by_fold = _in_parallel(fold_scores, range(folds), folds)
-    totals = [sum(scores) for scores in zip(*by_fold)]
-    best = max(range(len(grid)), key=lambda i: totals[i])
-    return grid[best], totals[best] / folds
+    means = [
+        round(sum(scores) / folds, naive_bayes.SCORE_DIGITS) for scores in zip(*by_fold)
+    ]
+    best = max(range(len(grid)), key=lambda i: means[i])
+    return grid[best], means[best]
 
 
 def _fit_classifier(
@@ -109,9 +126,15 @@ def _train_naive_bayes(
     alpha, cv_f1 = naive_bayes.best_alpha(
         naive_bayes.grid_scores(naive_bayes.fold_scores(scored)), alphas
     )
+    return naive_bayes_model(fitted, alpha, cv_f1)
+
+
+def naive_bayes_model(
+    fitted: naive_bayes.NaiveBayes, alpha: float, cv_f1: float | None = None
+) -> MailModel:
     return MailModel(
         "nb",
-        config,
+        fitted.config,
         {"clf__alpha": alpha},
         cv_f1,
         fitted.model_table(alpha),
@@ -126,11 +149,13 @@ def train_model(
     configs: Sequence[FeatureConfig] | None = None,
     grid: Sequence[dict] | None = None,
     folds: int = FOLDS,
+    terms: TermTables | None = None,
 ) -> MailModel:
     """Grid-search one model on mails with ``split`` and ``fold``, refit on all train mails.
 
     The linear SVM also picks the feature configuration with the strictly best
-    cross-validated F1, and names it among its parameters.
+    cross-validated F1, and names it among its parameters.  ``terms`` are the mails'
+    term tables, where several models share them.
     """
     if name == "nb":
         grid = grid or [{"clf__alpha": a} for a in NB_ALPHAS]
@@ -139,10 +164,10 @@ def train_model(
     else:
         raise ValueError(f"unknown model name: {name}")
     configs = configs or (EXPERIMENTS if name == "svm" else (WORD_1_2,))
-    train = parts.where(F.col("split") == "train")
+    terms = terms or TermTables(parts.where(F.col("split") == "train"))
     best = None
     for config in configs:
-        docs = prepared_terms(train, config)
+        docs = terms.of(config).where(F.col("split") == "train")
         if name == "nb":
             found = _train_naive_bayes(docs, config, grid, folds)
             if best is None or found.cv_f1 > best[0]:
@@ -159,6 +184,14 @@ def train_model(
     return _fit_classifier(name, docs, config, params, best[0])
 
 
+def fit_model(
+    name: str, parts: DataFrame, params: dict, config: FeatureConfig = WORD_1_2
+) -> MailModel:
+    """Fit one MLlib model on all train mails at given parameters, without a search."""
+    docs = prepared_terms(parts.where(F.col("split") == "train"), config)
+    return _fit_classifier(name, docs, config, params, None)
+
+
 def with_summary(
     rows: DataFrame, name: str, cv_f1: float | None = None, best_params: str | None = None
 ) -> DataFrame:
@@ -167,9 +200,13 @@ def with_summary(
     ).withColumn("model_order", F.lit(MODEL_ORDER.index(name)))
 
 
-def model_row(model: MailModel, test: DataFrame) -> DataFrame:
-    """Unrounded metric row of a model on test mails."""
-    scored = model.score(test.select("id", "label", "text")).drop("text")
+def model_row(model: MailModel, test: DataFrame, terms: TermTables | None = None) -> DataFrame:
+    """Unrounded metric row of a model on test mails, or on those of ``terms``."""
+    if terms is None:
+        scored = model.score(test.select("id", "label", "text"), keep_text=False)
+    else:
+        docs = terms.of(model.config).where(F.col("split") == "test")
+        scored = model.score_terms(docs.select("id", "label", "terms"))
     scored = written(scored.withColumn("model", F.lit(model.name)), "scored")
     rows = metric_rows(scored)
     return with_summary(rows, model.name, model.cv_f1, model.best_params)
@@ -201,12 +238,12 @@ def train_all(
     """
     test = parts.where(F.col("split") == "test")
     rows = baseline_rows(parts)
-    models = {}
+    models, terms = {}, TermTables(parts)
     for name in names:
         models[name] = train_model(
-            name, parts, (configs or {}).get(name), (grids or {}).get(name)
+            name, parts, (configs or {}).get(name), (grids or {}).get(name), terms=terms
         )
-        rows = rows.unionByName(model_row(models[name], test))
+        rows = rows.unionByName(model_row(models[name], test, terms))
     rows = written(rows, "metric-rows")
     board = leaderboard(rows)
     first = best_model(rows).first()
@@ -230,11 +267,11 @@ def run_experiments(
     grids: dict[str, Sequence[dict]] | None = None,
 ) -> DataFrame:
     """One metric row per feature configuration and model."""
-    test = parts.where(F.col("split") == "test")
+    test, terms = parts.where(F.col("split") == "test"), TermTables(parts)
     rows = None
     for config in configs:
         for name in names:
-            model = train_model(name, parts, (config,), (grids or {}).get(name))
-            row = model_row(model, test).withColumn("experiment", F.lit(config.name))
+            model = train_model(name, parts, (config,), (grids or {}).get(name), terms=terms)
+            row = model_row(model, test, terms).withColumn("experiment", F.lit(config.name))
             rows = row if rows is None else rows.unionByName(row)
     return rows.drop("model_order")

@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailspark.config import CHAR_3_5, ENGLISH_STOP_WORDS, NB_ALPHAS, WORD_1_2, FeatureConfig
+from mailspark.config import (
+    CHAR_3_5,
+    ENGLISH_STOP_WORDS,
+    EXPERIMENTS,
+    NB_ALPHAS,
+    WORD_1_2,
+    FeatureConfig,
+)
 from mailspark.functions import clean
 from mailspark.functions.mail import compose_text, decode_text, html_to_text, parse_mails
-from mailspark.functions.terms import add_terms, term_documents, without_stop_words, word_tokens
+from mailspark.functions.terms import term_documents, without_stop_words, word_tokens
 from mailspark.operators import naive_bayes
 from mailspark.operators.baselines import keyword_predictions, majority_predictions
+from mailspark.operators.classifiers import GRIDS
 from mailspark.operators.compare import model_comparison, vote_summary
 from mailspark.operators.dedup import drop_repeated_texts
 from mailspark.operators.errors import error_analysis
@@ -52,12 +60,13 @@ from mailspark.operators.split import (
     split_label_counts,
 )
 from mailspark.plans import train
-from mailspark.plans.model import load_model, save_model
+from mailspark.plans.model import DECISION, MailModel, load_model, save_model
 from mailspark.sources.mails import first_mails, labelled_frame, load_mails
 from mailspark.sources.reports import read_report, save_table
 from mailspark.sources.scratch import scratch_path, written
+from mailspark.sources.stop_words import read_stop_words, stop_words
 from mailspark.sources.tables import labelled_documents, read_table, spread
-from mailspark.streaming.score import score_stream, table_stream
+from mailspark.streaming.score import mail_file_stream, score_stream, scored_rows, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 ALPHA = 0.1
@@ -72,6 +81,15 @@ LITERALS = (
     (-6, '<a href="http://x.y">click</a> b > c'),
 )
 
+NFKC_LITERALS = (
+    (-11, "ＡＢＣ１２３"),
+    (-12, "ﬁne oﬃce"),
+    (-13, "x² ½ ①"),
+    (-14, "ｶﾞ"),
+    (-15, "\u212b\u00a0\u2126"),
+)
+FILE_SUBJECT = "doc"
+
 
 # --- corpus -----------------------------------------------------------------
 
@@ -97,6 +115,23 @@ def delimited_file_load(spark: SparkSession, sf: str) -> DataFrame:
     return load_mails(spark, path, dedup=True).select("label", "label_name", digest("text").alias("text_md5"))
 
 
+def mail_folders(spark: SparkSession, sf: str) -> str:
+    """The labelled documents as one mail file each, below a folder for each label."""
+    base = scratch_path(spark, "mail-folders")
+    mails = labelled_documents(spark, sf)
+    head = F.lit(f"Subject: {FILE_SUBJECT}\n\n")
+    for name in ("ham", "spam"):
+        mails.where(F.col("label_name") == name).select(
+            "id", F.concat(head, "text").alias("value")
+        ).repartition("id").write.partitionBy("id").text(f"{base}/{name}")
+    return base
+
+
+def folder_load(spark: SparkSession, sf: str) -> DataFrame:
+    mails = load_mails(spark, mail_folders(spark, sf))
+    return mails.select("label", "label_name", "subject", digest("text").alias("text_md5"))
+
+
 def labelled_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Null texts dropped, label cast, over all documents with and without a label."""
     documents = read_table(spark, sf, "documents").join(
@@ -190,7 +225,9 @@ def cleaning_step(step: Callable[[Column], Column]) -> Query:
 
 
 def nfkc_texts(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.nfkc(texts(spark, sf), "text")
+    literals = spark.createDataFrame(NFKC_LITERALS, "id bigint, text string")
+    literals = literals.select(F.lit("literals").alias("kind"), "id", "text")
+    return clean.nfkc(texts(spark, sf).unionByName(literals), "text")
 
 
 def cleaned_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,6 +275,19 @@ def stop_word_removal(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.array_join(kept, " ").alias("kept"))
 
 
+def stop_word_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The stop words of a list written from the names of nations, and the English ones."""
+    path = scratch_path(spark, "stop-words")
+    names = read_table(spark, sf, "nation").select(F.lower("n_name").alias("value"))
+    lines = names.select(F.concat(F.lit("  "), "value", F.lit("\t")).alias("value"))
+    remarks = spark.createDataFrame([("# names",), ("",), ("   ",), ("\ufeffthe",)], "value string")
+    lines.unionByName(remarks).write.text(path)
+    listed = set(read_stop_words(spark, path))
+    every = stop_words(spark, path)
+    rows = [(w, w in ENGLISH_STOP_WORDS, w in listed) for w in every]
+    return spark.createDataFrame(rows, "token string, english boolean, listed boolean")
+
+
 def term_lists(config: FeatureConfig) -> Query:
     """Each mail's terms: how many, how many different ones, and a digest of them all."""
 
@@ -396,8 +446,9 @@ def metric_table(spark: SparkSession, sf: str) -> DataFrame:
     """Unrounded metric rows of both baselines and the tuned Naive Bayes."""
     parts = train.split_mails(labelled_documents(spark, sf))
     test = parts.where(F.col("split") == "test")
-    model = train.train_model("nb", parts)
-    rows = train.baseline_rows(parts).unionByName(train.model_row(model, test))
+    terms = train.TermTables(parts)
+    model = train.train_model("nb", parts, terms=terms)
+    rows = train.baseline_rows(parts).unionByName(train.model_row(model, test, terms))
     return written(rows, "metric-rows")
 
 
@@ -547,14 +598,15 @@ def leaderboard_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def streamed(spark: SparkSession, sf: str, score) -> DataFrame:
-    schema = read_table(spark, sf, "documents").schema
-    stream = table_stream(spark, sf, schema, "documents.parquet")
-    mails = stream.select(
-        F.sha1(F.col("doc_id").cast("string").cast("binary")).alias("id"), "text"
-    )
+    table = read_table(spark, sf, "documents")
+
+    def mails(rows: DataFrame) -> DataFrame:
+        return rows.select(F.sha1(F.col("doc_id").cast("string").cast("binary")).alias("id"), "text")
+
     out = scratch_path(spark, "stream")
-    score_stream(mails, score, f"{out}/scored", f"{out}/progress").awaitTermination()
-    return spark.read.parquet(f"{out}/scored").drop("batch")
+    stream = mails(table_stream(spark, sf, "documents", table.schema))
+    score_stream(stream, score, f"{out}/scored", f"{out}/progress").awaitTermination()
+    return scored_rows(spark, f"{out}/scored", mails(table), score)
 
 
 def streamed_keyword_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -563,62 +615,166 @@ def streamed_keyword_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 def streamed_nb_scores(spark: SparkSession, sf: str) -> DataFrame:
     parts = train.split_mails(labelled_documents(spark, sf))
-    model = train.train_model("nb", parts, grid=[{"clf__alpha": ALPHA}])
-    return rounded(streamed(spark, sf, model).select("id", "score", "prediction"))
+    return rounded(streamed(spark, sf, fixed_nb(parts)).select("id", "score", "prediction"))
+
+
+def fixed_nb(parts: DataFrame) -> MailModel:
+    """Naive Bayes fitted at one smoothing value, without a search."""
+    docs = prepared_terms(parts.where(F.col("split") == "train"), WORD_1_2)
+    return train.naive_bayes_model(naive_bayes.fit(docs, WORD_1_2, (ALPHA,)), ALPHA)
+
+
+def streamed_mail_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Mail files below two folders, picked up as a stream and scored by keywords."""
+
+    def score(mails: DataFrame) -> DataFrame:
+        return keyword_predictions(mails.withColumn("text_md5", digest("text")))
+
+    base, out = mail_folders(spark, sf), scratch_path(spark, "stream")
+    stream = mail_file_stream(spark, base)
+    score_stream(stream, score, f"{out}/scored", f"{out}/progress").awaitTermination()
+    none = spark.createDataFrame([], "id string, path string, text string")
+    found = scored_rows(spark, f"{out}/scored", none, score)
+    return found.select("text_md5", "prediction", "predicted_name")
 
 
 # --- MLlib models -----------------------------------------------------------
 
 
-def mllib_row(name: str, grid: list[dict] | None, configs=None) -> Query:
-    """Metric row of one MLlib model after its search."""
+def facts_of_scores(model: MailModel, test: DataFrame, **more: bool) -> DataFrame:
+    """Per test mail: whether its score is in range and agrees with the prediction, and
+    whether the metric row follows from the predictions; ``more`` adds facts of the model.
+    """
+    scored = model.score(test.select("id", "label", "text"), keep_text=False)
+    scored = written(scored, "scored")
+    score, is_spam = F.col("score"), F.col("prediction") == 1
+    if model.score_type == DECISION:
+        in_range, agrees = ~F.isnan(score) & (F.abs(score) < 1e9), is_spam == (score > 0)
+    else:
+        in_range, agrees = score.between(0, 1), is_spam == (score > 0.5)
+    row = train.model_row(model, test).first()
+    tp, wrong, right, n = scored.agg(
+        F.count_if((F.col("label") == 1) & is_spam),
+        F.count_if(F.col("label") != F.col("prediction")),
+        F.count_if(F.col("label") == F.col("prediction")),
+        F.count(F.lit(1)),
+    ).first()
+    f1 = 2 * tp / (2 * tp + wrong) if tp else 0.0
+    follows = abs(row["f1_spam"] - f1) < 1e-9 and abs(row["accuracy"] - right / n) < 1e-9
+    facts = {"metrics_follow": follows, **more}
+    return scored.select(
+        "id",
+        "label",
+        F.coalesce(in_range, F.lit(False)).alias("in_range"),
+        F.coalesce(agrees, F.lit(False)).alias("agrees"),
+        *(F.lit(bool(v)).alias(k) for k, v in facts.items()),
+    )
+
+
+def searched(name: str) -> Query:
+    """A linear model after the search of its whole grid."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        parts = train.split_mails(labelled_documents(spark, sf))
+        model = train.train_model(name, parts)
+        facts = least_loss(model, parts) if name == "lr" else {}
+        in_grid = {k: v for k, v in model.params.items() if k != "experiment"} in GRIDS[name]
+        test = parts.where(F.col("split") == "test")
+        return facts_of_scores(model, test, chosen_from_grid=in_grid, **facts)
+
+    return query
+
+
+#: How far from zero the mean gradient of a fitted logistic regression may be.
+GRADIENT = 1e-3
+
+
+def least_loss(model: MailModel, parts: DataFrame) -> dict[str, bool]:
+    """Whether the gradient of a logistic regression's loss is zero where it was fitted."""
+    docs = prepared_terms(parts.where(F.col("split") == "train"), model.config)
+    residual = model.score_terms(docs).select("id", (F.col("score") - F.col("label")).alias("r"))
+    residual = written(residual, "residuals")
+    n = residual.count()
+    cells = tfidf(docs.select("id", "terms"), model.table, model.config, ("weight",))
+    cells = cells.select("id", "token", F.col("weight").alias("x"))
+    sums = cells.join(residual, "id").groupBy("token").agg(F.sum(F.col("x") * F.col("r")).alias("s"))
+    gradient = F.abs(F.col("s") + F.col("weight") / model.params["clf__C"]) / n
+    steepest = sums.join(model.table, "token").agg(F.max(gradient)).first()[0]
+    mean = residual.agg(F.abs(F.avg("r"))).first()[0]
+    return {"residuals_cancel": mean < GRADIENT, "gradient_vanishes": steepest < GRADIENT}
+
+
+def fitted(name: str, params: dict) -> Query:
+    """A tree model fitted at one point of its grid, without a search."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         parts = train.split_mails(labelled_documents(spark, sf))
-        model = train.train_model(name, parts, configs, grid)
-        return rounded(train.model_row(model, parts.where(F.col("split") == "test"))).drop("model_order")
+        model = train.fit_model(name, parts, params)
+        test = parts.where(F.col("split") == "test")
+        return facts_of_scores(model, test, point_of_grid=params in GRIDS[name])
 
     return query
 
 
+def nb_config_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature configuration and smoothing value that Naive Bayes picks."""
+    parts = train.split_mails(labelled_documents(spark, sf))
+    model = train.train_model("nb", parts, EXPERIMENTS)
+    row = [(model.config.name, model.params["clf__alpha"], model.cv_f1)]
+    return rounded(spark.createDataFrame(row, "experiment string, alpha double, cv_best_f1 double"))
+
+
 def reloaded_model(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of a Naive Bayes model that was saved and loaded again."""
     parts = train.split_mails(labelled_documents(spark, sf))
     path = scratch_path(spark, "saved-model")
-    save_model(train.train_model("nb", parts, grid=[{"clf__alpha": ALPHA}]), path)
+    save_model(fixed_nb(parts), path)
     test = parts.where(F.col("split") == "test").select("id", "label", "text")
     scored = load_model(spark, path).score(test)
     return rounded(scored.select("id", "label", "score", "prediction"))
 
 
 def experiment_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Both models under both configurations, with their whole grids.
+
+    Figures of Naive Bayes, and for both models whether the rates follow from the counts.
+    """
     parts = train.split_mails(labelled_documents(spark, sf))
-    rows = train.run_experiments(parts, ("nb", "svm"), grids={"svm": [{"clf__C": 1.0}]})
-    return rounded(rows)
+    rows = train.run_experiments(parts, ("nb", "svm"))
+    of_nb = F.col("model") == "nb"
+    n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
+    f1 = F.coalesce(F.try_divide(2.0 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), F.lit(0.0))
+    return rounded(rows).select(
+        "experiment",
+        "model",
+        n.alias("mails"),
+        (F.abs(F.col("f1_spam") - f1) < 1e-5).alias("f1_follows"),
+        (F.abs(F.col("accuracy") - (F.col("tn") + F.col("tp")) / n) < 1e-5).alias("accuracy_follows"),
+        F.col("cv_best_f1").between(0, 1).alias("cv_in_range"),
+        F.when(of_nb, F.col("f1_spam")).alias("nb_f1_spam"),
+        F.when(of_nb, F.col("cv_best_f1")).alias("nb_cv_best_f1"),
+    )
 
 
-ONE_FOREST = [
-    {
-        "clf__n_estimators": 20,
-        "clf__max_depth": 10,
-        "clf__min_samples_split": 2,
-        "clf__max_features": "sqrt",
-    }
-]
-ONE_BOOST = [
-    {
-        "clf__n_estimators": 5,
-        "clf__max_depth": 3,
-        "clf__learning_rate": 0.3,
-        "clf__subsample": 0.8,
-        "clf__colsample_bytree": 0.8,
-    }
-]
+FOREST_POINT = {
+    "clf__n_estimators": 100,
+    "clf__max_depth": 10,
+    "clf__min_samples_split": 2,
+    "clf__max_features": "sqrt",
+}
+BOOST_POINT = {
+    "clf__n_estimators": 100,
+    "clf__max_depth": 3,
+    "clf__learning_rate": 0.3,
+    "clf__subsample": 0.8,
+    "clf__colsample_bytree": 0.8,
+}
 
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "record_ids": record_ids,
     "limited_load": limited_load,
+    "folder_load": folder_load,
     "delimited_file_load": delimited_file_load,
     "null_drop_and_cast": labelled_rows,
     "saved_split_tables": saved_split_tables,
@@ -650,6 +806,7 @@ QUERIES: dict[str, Query] = {
     # features
     "word_tokens": tokens,
     "stop_word_removal": stop_word_removal,
+    "stop_word_table": stop_word_table,
     "word_ngrams": term_lists(WORD_1_2),
     "char_ngrams": term_lists(CHAR_3_5),
     "word_vocabulary": kept_vocabulary(WORD_1_2),
@@ -703,10 +860,12 @@ QUERIES: dict[str, Query] = {
     # streams
     "streamed_keyword_scores": streamed_keyword_scores,
     "streamed_nb_scores": streamed_nb_scores,
+    "streamed_mail_files": streamed_mail_files,
     # MLlib models
-    "logistic_regression": mllib_row("lr", None),
-    "linear_svm": mllib_row("svm", [{"clf__C": 1.0}]),
-    "random_forest": mllib_row("rf", ONE_FOREST),
-    "gradient_boosted_trees": mllib_row("xgb", ONE_BOOST),
+    "logistic_regression": searched("lr"),
+    "linear_svm": searched("svm"),
+    "random_forest": fitted("rf", FOREST_POINT),
+    "gradient_boosted_trees": fitted("xgb", BOOST_POINT),
     "experiment_grid": experiment_grid,
+    "nb_config_choice": nb_config_choice,
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,17 +14,27 @@ MAIL_COLUMNS = ("id", "label", "label_name", "text", "path")
 
 
 def label_name(label: Column) -> Column:
-    return F.when(label == SPAM, "spam").otherwise("ham")
+    """The name of a label; null for anything else."""
+    return F.when(label == SPAM, "spam").when(label == HAM, "ham")
+
+
+def checked_label(label: Column) -> Column:
+    """The label as 0 or 1; anything else, also a missing one, stops the job."""
+    number = label.try_cast("int")
+    shown = F.coalesce(label.cast("string"), F.lit("nothing"))
+    wrong = F.raise_error(F.concat(F.lit("labels must be 0 or 1, found "), shown))
+    return F.when(number.isin(HAM, SPAM), number).otherwise(wrong.cast("int"))
 
 
 def as_mails(df: DataFrame) -> DataFrame:
-    """Complete a frame with label, text and path to mail records."""
+    """Complete a frame with label, text and path to mail records; a subject is kept."""
     return df.select(
         F.sha1(F.col("path").cast("binary")).alias("id"),
-        F.col("label").cast("int").alias("label"),
-        label_name(F.col("label")).alias("label_name"),
+        checked_label(F.col("label")).alias("label"),
+        label_name(F.col("label").try_cast("int")).alias("label_name"),
         "text",
         "path",
+        *(c for c in ("subject",) if c in df.columns),
     )
 
 
@@ -69,7 +78,10 @@ def read_labelled_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def labelled_frame(frame: DataFrame) -> DataFrame:
-    """Pick and cast the text and label columns of any frame; null texts are dropped."""
+    """Pick and cast the text and label columns of any frame; null texts are dropped.
+
+    A row with a text and without a label of 0 or 1 stops the job.
+    """
     if "text" in frame.columns:
         text = "text"
     elif "raw_text" in frame.columns:
@@ -79,19 +91,15 @@ def labelled_frame(frame: DataFrame) -> DataFrame:
     if "label" not in frame.columns:
         raise ValueError("expected a label column")
     return frame.where(F.col(text).isNotNull()).select(
-        F.col(text).cast("string").alias("text"), F.col("label").cast("int").alias("label")
+        F.col(text).cast("string").alias("text"), checked_label(F.col("label")).alias("label")
     )
 
 
 def _is_folder_pair(spark: SparkSession, path: str) -> bool:
-    try:
-        for name in ("ham", "spam"):
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
-                f"{path.rstrip('/')}/{name}"
-            )
-    except AnalysisException:
-        return False
-    return True
+    """Whether both label folders exist; asks the file system and lists nothing below."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folders = [jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{n}") for n in ("ham", "spam")]
+    return all(f.getFileSystem(conf).exists(f) for f in folders)
 
 
 def first_mails(mails: DataFrame, limit: int | None) -> DataFrame:

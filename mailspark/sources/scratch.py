@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_TO_CLEAR: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -24,7 +26,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/mailspark/{name}-{uuid.uuid4().hex}"
+    """A new place of its own in the application's folder, which goes when it ends."""
+    folder = application_folder(spark)
+    if folder not in _TO_CLEAR:
+        _TO_CLEAR.add(folder)
+        atexit.register(clear_scratch, spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/mailspark/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table of this application.
+
+    Runs when the driver ends; a long-lived one may call it between jobs, once their
+    results are written elsewhere.
+    """
+    if spark.sparkContext._jsc is None:  # already stopped
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:

@@ -155,8 +155,15 @@ def compared_ctes() -> str:
 MODEL_LABEL = sql.display("model")
 
 
+def model_facts(*more: str) -> str:
+    """Per test mail what must hold of its score, whatever the solver finds."""
+    facts = ", ".join(f"true AS {f}" for f in ("in_range", "agrees", "metrics_follow", *more))
+    return PARTS + f"SELECT id, label, {facts} FROM parts WHERE split = 'test'"
+
+
 def queries() -> dict[str, str]:
     step = sql.step_query
+    file_text = sql.stripped("'doc' || chr(10) || text")
     folds_csv = f"WITH {sql.CORPUS}, kept AS (SELECT min(label) AS label, text FROM corpus GROUP BY text) "
     board = sql.board()
     stop_list = "[" + ", ".join(sql.quoted(w) for w in ENGLISH_STOP_WORDS) + "]"
@@ -170,6 +177,21 @@ def queries() -> dict[str, str]:
     return {
         "record_ids": CORPUS + "SELECT id, label, label_name, path, md5(text) AS text_md5 FROM corpus",
         "limited_load": CORPUS + "SELECT id, label, path FROM corpus ORDER BY label, path LIMIT 60",
+        "folder_load": CORPUS
+        + f"SELECT label, label_name, 'doc' AS subject, md5({file_text}) AS text_md5 FROM corpus",
+        "streamed_mail_files": f"""{CORPUS} SELECT md5(t) AS text_md5, {sql.keyword_hit('t')} AS prediction,
+  {NAME.format(sql.keyword_hit('t'))} AS predicted_name FROM (SELECT {file_text} AS t FROM corpus)""",
+        "linear_svm": model_facts("chosen_from_grid"),
+        "logistic_regression": model_facts("chosen_from_grid", "residuals_cancel", "gradient_vanishes"),
+        "random_forest": model_facts("point_of_grid"),
+        "gradient_boosted_trees": model_facts("point_of_grid"),
+        "experiment_grid": f"""WITH nb AS ({experiment_sql()})
+SELECT experiment, model, tn + fp + fn + tp AS mails, true AS f1_follows, true AS accuracy_follows, true AS cv_in_range,
+  f1_spam AS nb_f1_spam, cv_best_f1 AS nb_cv_best_f1 FROM nb
+UNION ALL SELECT experiment, 'svm', tn + fp + fn + tp, true, true, true, NULL, NULL FROM nb""",
+        "nb_config_choice": f"""WITH nb AS ({experiment_sql()})
+SELECT experiment, CAST(json_extract_string(best_params, '$.clf__alpha') AS DOUBLE) AS alpha, cv_best_f1
+FROM nb ORDER BY cv_best_f1 DESC, experiment DESC LIMIT 1""",
         "delimited_file_load": folds_csv
         + f"SELECT label, {NAME.format('label')} AS label_name, md5(text) AS text_md5 FROM kept",
         "null_drop_and_cast": "SELECT CAST(toxic AS INTEGER) AS label, count(*) AS rows, sum(length(text))::BIGINT AS chars "
@@ -182,7 +204,9 @@ def queries() -> dict[str, str]:
         "composed_texts": f"SELECT conv_id, turn, {sql.stripped('role || chr(10) || text')} AS text FROM conversations",
         "decoded_bytes": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
         "html_to_text": f"SELECT page_id, {unescaped.format(sql.tags('html'))} AS text FROM pages",
-        "clean_nfkc": step("nfc_normalize(text)"),
+        "clean_nfkc": step("nfc_normalize(text)")
+        + " UNION ALL SELECT 'literals', * FROM (VALUES (-11, 'ABC123'), (-12, 'fine office'), "
+        "(-13, 'x2 1' || chr(8260) || '2 1'), (-14, chr(12460)), (-15, chr(197) || ' ' || chr(937))) v(id, text)",
         "clean_newlines": step(sql.newlines("text")),
         "clean_header_lines": step(sql.header_lines("text")),
         "clean_lower_case": step(sql.lower("text")),
@@ -202,9 +226,12 @@ SELECT 'loaded_without_dedup' AS dataset_view, count(*) AS rows, count(*) FILTER
 UNION ALL SELECT 'loaded_with_dedup', count(*), count(*) FILTER (label = 0), count(*) FILTER (label = 1) FROM unique_mails""",
         "parse_preview": f"""WITH {sql.CORPUS}, firsts AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label_name ORDER BY path, id) AS rn FROM corpus) WHERE rn = 1)
-SELECT label_name AS label, string_split(path, '/')[-1] AS file, substr(string_split(text, chr(10))[1], 1, 120) AS subject,
+SELECT label_name AS label, string_split(path, '/')[-1] AS file, '' AS subject,
   substr(text, 1, 240) AS raw_preview, substr({sql.clean('text')}, 1, 240) AS clean_preview FROM firsts""",
         "word_tokens": TOKENS + "SELECT doc_id, len(tokens) AS n, array_to_string(tokens, ' ') AS tokens FROM found",
+        "stop_word_table": f"""WITH words AS (SELECT unnest({stop_list}) AS token, true AS english, false AS listed
+  UNION ALL SELECT lower(n_name), false, true FROM nation UNION ALL SELECT 'the', false, true)
+SELECT token, bool_or(english) AS english, bool_or(listed) AS listed FROM words GROUP BY token""",
         "stop_word_removal": TOKENS
         + f"SELECT doc_id, array_to_string([t FOR t IN tokens IF NOT list_contains({stop_list}, t)], ' ') AS kept FROM found",
         "word_ngrams": f"WITH {sql.CORPUS}, {sql.word_terms('corpus')} {TERM_LIST}",

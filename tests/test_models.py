@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from mailspark.config import WORD_1_2
 from mailspark.operators.classifiers import GRIDS, estimator
 from mailspark.operators.explain import token_contributions, top_tokens
-from mailspark.operators.features import prepared_terms, vocabulary
+from mailspark.operators.features import linear_sums, prepared_terms, vocabulary
 from mailspark.operators.vectors import feature_vectors, with_index
 from mailspark.plans import train
-from mailspark.plans.evaluate import evaluate, predict
+from mailspark.plans.evaluate import default_threshold, evaluate, predict
 from mailspark.plans.model import load_model, save_model
+from mailspark.sources.mails import load_mails
 from mailspark.sources.scratch import scratch_path, written
 
 CONFIG = WORD_1_2.with_changes(max_n=1)
@@ -109,3 +110,78 @@ def test_train_all_ranks_and_saves(spark, parts):
     assert load_model(spark, f"{out}/models/best_model").params == models["nb"].params
     saved = spark.read.parquet(f"{out}/train").count() + spark.read.parquet(f"{out}/test").count()
     assert saved == parts.count() == spark.read.parquet(f"{out}/emails_raw").count()
+
+
+def test_folds_must_be_those_of_the_mails(parts):
+    for name in ("nb", "lr"):
+        with pytest.raises(ValueError, match="folds"):
+            train.train_model(name, parts, [CONFIG], folds=5)
+
+
+@pytest.mark.parametrize("name, params", [
+    ("rf", {"clf__n_estimators": 5, "clf__max_depth": 10, "clf__min_samples_split": 2, "clf__max_features": "sqrt"}),
+    ("xgb", {"clf__n_estimators": 3, "clf__max_depth": 3, "clf__learning_rate": 0.3, "clf__subsample": 0.8, "clf__colsample_bytree": 0.8}),
+])
+def test_fits_do_not_depend_on_the_layout(parts, name, params):
+    scores = []
+    for n in (1, 4):
+        model = train.fit_model(name, parts.repartition(n, "text"), params, CONFIG)
+        rows = model.score(parts.select("id", "text"), keep_text=False).collect()
+        scores.append({r["id"]: r["score"] for r in rows})
+    assert scores[0] == scores[1]
+
+
+def test_scoring_reads_and_parses_mails_once(spark, parts, tmp_path):
+    for label in ("ham", "spam"):
+        (tmp_path / label).mkdir()
+        (tmp_path / label / "a.eml").write_bytes(b"Subject: hi\n\nwin cash now")
+    model = train.train_model("nb", parts, [CONFIG])
+    mails = load_mails(spark, str(tmp_path)).drop("label_name")
+    plan = model.score(mails, keep_text=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 2  # one for each folder
+    assert len(model.score(mails, keep_text=False).collect()) == 2
+
+
+def test_default_thresholds(spark, parts):
+    odd = spark.createDataFrame([("a", "win cash"), ("b", "lunch")], "id string, text string")
+    model = train.train_model("nb", parts, [CONFIG])
+    assert default_threshold(model) == 0.5
+    rows = predict(model, odd, "default").collect()
+    assert all((r["score"] >= 0.5) == (r["prediction"] == 1) for r in rows)
+    assert not any(r["low_confidence"] for r in predict(model, odd).collect())
+
+
+def test_a_hot_token_is_split(spark, parts):
+    rows = [(f"h{i}", i % 2, "win " + "word%d" % i) for i in range(4000)]
+    mails = spark.createDataFrame(rows, "id string, label int, text string").repartition(8)
+    docs = written(mails.withColumn("terms", F.array(
+        F.struct(F.lit("win").alias("token"), F.lit(1).alias("tf")),
+        F.struct(F.concat(F.lit("w"), "id").alias("token"), F.lit(1).alias("tf")),
+    )).drop("text"), "hot")
+    table = written(docs.select(F.explode("terms.token").alias("token")).distinct().select(
+        "token", F.lit(1.0).alias("idf"), F.lit(1.0).alias("weight")), "weights")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sums = linear_sums(docs, table, F.col("idf"), {"dot": F.col("weight")}, CONFIG)
+        assert sums.count() == 4000
+        found = sums.select(F.min("dot"), F.max("dot"))
+        sums.write.format("noop").mode("overwrite").save()
+        low, high = found.first()
+        assert low == pytest.approx(high) and "skew" in joined_plan(sums)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def joined_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,11 +1,18 @@
 """Readers, sinks and the stream over files in a temporary folder."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
+from mailspark.config import ENGLISH_STOP_WORDS
 from mailspark.operators.baselines import keyword_predictions
-from mailspark.sources.mails import load_mails
+from mailspark.operators.split import parse_preview
+from mailspark.sources.mails import labelled_frame, load_mails
 from mailspark.sources.reports import read_report, save_table
+from mailspark.sources.stop_words import read_stop_words, stop_words
 from mailspark.streaming.score import mail_file_stream, score_stream
 
 FILES = {
@@ -91,3 +98,45 @@ def test_stream_equals_batch(spark, corpus, tmp_path):
     batch = keyword_predictions(load_mails(spark, corpus)).select("id", "prediction")
     assert found == {r["id"]: r["prediction"] for r in batch.collect()}
     assert spark.read.parquet(out).where(F.col("predicted_name") == "spam").count() == 1
+
+
+@pytest.mark.parametrize("label", ["", "2", "abc", "-1"])
+def test_labels_must_be_0_or_1(spark, tmp_path, label):
+    (tmp_path / "a.csv").write_text(f"text,label\nfine,1\nodd,{label}\n")
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        load_mails(spark, str(tmp_path / "a.csv")).collect()
+
+
+def test_rows_without_text_need_no_label(spark):
+    frame = spark.createDataFrame([("x", "1"), (None, None)], "text string, label string")
+    assert [tuple(r) for r in labelled_frame(frame).collect()] == [("x", 1)]
+
+
+def test_subjects_are_kept_and_previewed(spark, corpus):
+    rows = {r["label"]: r["subject"] for r in parse_preview(load_mails(spark, corpus)).collect()}
+    assert rows == {"ham": "hello", "spam": "FREE"}
+
+
+def test_stop_word_lists(spark, tmp_path):
+    path = tmp_path / "words.txt"
+    path.write_bytes("\ufeff# remark\n\nlà\n  và \n#x\nthe\n".encode())
+    assert read_stop_words(spark, str(path)) == ("là", "và", "the")
+    assert read_stop_words(spark, str(tmp_path / "none.txt")) == ()
+    assert set(stop_words(spark, str(path), english=False)) == {"the", "và", "là"}
+    both = stop_words(spark, str(path))
+    assert set(both) == {*ENGLISH_STOP_WORDS, "là", "và"} and list(both) == sorted(both)
+    assert stop_words(spark, str(path), english=False, listed=False) == ()
+    assert set(stop_words(spark)) == set(ENGLISH_STOP_WORDS)
+
+
+def test_scratch_tables_can_be_cleared(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from mailspark.sources.scratch import written\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', '{tmp_path}').getOrCreate()\n"
+        "assert written(spark.range(3), 'some').count() == 3\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+    assert not list(tmp_path.rglob("*.parquet"))

@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from mailspark.config import CHAR_3_5, ENGLISH_STOP_WORDS, WORD_1_2, FeatureConfig
-from mailspark.functions.terms import add_terms, count_terms
+from mailspark.functions.terms import add_terms, char_ngrams, count_terms
 from mailspark.operators.features import (
     idf_extremes,
     matrix_stats,
@@ -106,3 +107,26 @@ def test_bad_settings():
         FeatureConfig(analyzer="sentence")
     with pytest.raises(ValueError):
         FeatureConfig(min_n=3, max_n=2)
+
+
+def test_long_words_have_the_same_ngrams(spark):
+    words = ["a" * 10, "ab" * 40, "é日😀x" * 30, "y" * 63, "y" * 64, "z"]
+    frame = spark.createDataFrame([(w,) for w in words], "clean string")
+    for row in frame.select("clean", char_ngrams(F.col("clean"), 3, 5).alias("grams")).collect():
+        padded, expected = f" {row['clean']} ", []
+        for n in range(3, 6):
+            if n <= max(3, len(padded)):
+                expected += [padded[i : i + n] for i in range(max(1, len(padded) - n + 1))]
+        assert row["grams"] == expected
+
+
+def test_ngrams_of_a_run_take_linear_time(spark):
+    def seconds(size):
+        frame = spark.range(8, numPartitions=1).select(F.expr(f"repeat('ab', {size // 2})").alias("c"))
+        grams = frame.select(F.size(char_ngrams(F.concat("c", F.lit("x")), 3, 5)).alias("n"))
+        started = time.perf_counter()
+        grams.agg(F.sum("n")).collect()
+        return time.perf_counter() - started
+
+    seconds(20_000)
+    assert min(seconds(80_000) for _ in range(2)) < 3 * max(0.3, min(seconds(40_000) for _ in range(2)))
