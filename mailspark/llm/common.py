@@ -19,6 +19,20 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that go to a Python worker at a time, unless the session says otherwise.  Spark's
+#: default is fit for short rows; of texts it is tens of megabytes, held several times.
+ROWS_AT_ONCE = 500
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """The same rows; the session sends fewer at a time to Python, if it has the default."""
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH_ROWS) == "10000":
+        conf.set(_BATCH_ROWS, str(ROWS_AT_ONCE))
+    return docs
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
@@ -41,6 +55,8 @@ def text_slices(
             size += n
         if len(sizes) > start:
             yield batch.slice(start), texts.slice(start).to_pylist()
+    # Workers outlive their tasks; what Arrow holds back is for others now.
+    pa.default_memory_pool().release_unused()
 
 
 def same_schema(rows: dict[str, object], like: pa.Schema) -> pa.RecordBatch:

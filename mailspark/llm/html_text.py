@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import text_slices
+from mailspark.llm.common import small_batches, text_slices
 from mailspark.sources.scratch import written
 
 #: A text is template where this share of a host's pages have it at the same node; within
@@ -509,7 +509,7 @@ def extract(
     html_column: str = "html",
 ) -> DataFrame:
     """page_id, url and text of every page."""
-    pages = pages.select(
+    pages = small_batches(pages).select(
         F.col(id_column).cast("long").alias("page_id"),
         F.col(url_column).cast("string").alias("url"),
         F.col(html_column).cast("string").alias("html"),

@@ -25,12 +25,11 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import text_slices
+from mailspark.llm.common import small_batches, text_slices
 
 UNKNOWN = "und"
 MAX_TRAINING = 5000
@@ -42,7 +41,7 @@ SWITCH = 15.0
 OUTSIDE = 1e4
 #: A language is a candidate in a script that holds this share of its letters.
 SCRIPT_SHARE = 1e-3
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 # First and last code points of scripts, from the Unicode blocks.
 SCRIPTS = {
@@ -149,7 +148,7 @@ def ngrams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def learn(docs: DataFrame, most: int = MAX_TRAINING) -> Model:
     """A model from docs (doc_id, text, lang)."""
-    labelled = docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
+    labelled = small_batches(docs).where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     spread = float(1 << 32)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
@@ -312,7 +311,7 @@ def predict(
                 ["doc_id", "lang_pred", "score", "spans"],
             )
 
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(text_column).cast("string").alias("text"),
     ).mapInArrow(run, SCHEMA)
@@ -321,14 +320,18 @@ def predict(
 def language_column(model: Model) -> Callable[[Column], Column]:
     """A function from a text column to a struct of lang_pred and score."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = pa.RecordBatch.from_arrays([pa.array(batch, pa.string())], ["text"])
+            rows = pa.RecordBatch.from_arrays([batch], ["text"])
             parts = []
             for _, texts in text_slices([rows], "text", SLICE):
                 parts.extend(verdict[:2] for verdict in verdicts(model, texts))
-            yield pd.DataFrame(parts, columns=["lang_pred", "score"])
+            langs, scores = zip(*parts) if parts else ((), ())
+            yield pa.StructArray.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                ["lang_pred", "score"],
+            )
 
     return found
 

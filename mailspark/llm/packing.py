@@ -32,14 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import same_schema, text_slices
+from mailspark.llm.common import same_schema, small_batches, text_slices
 
 TIERS = (128, 256, 512, 1024)
 END_ID = 0
 OPEN_GROUPS = 8
 STEP_TOKENS = 65_536
 #: Words, and parts of words, whose ids a worker remembers; only speed depends on it.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: The bytes of an id: unsigned, little-endian.
 ID_BYTES = 4
 
@@ -258,7 +258,7 @@ def pack(
         packer.pack(at_end=True)
         yield packer.taken()
 
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     ).mapInArrow(packed, SCHEMA)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import text_slices
+from mailspark.llm.common import small_batches, text_slices
 from mailspark.llm.repetition import suffix_order
 
 MARK = "▁"
@@ -306,7 +306,7 @@ def _coded(docs: DataFrame, model: str, id_column: str, text_column: str, back:
                 names.append("decoded")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(text_column).cast("string").alias("text"),
     ).mapInArrow(

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import text_slices
+from mailspark.llm.common import small_batches, text_slices
 
 #: Words of the shortest repeat that counts.
 MIN_WORDS = 8
@@ -179,7 +179,7 @@ def measure(
                 schema=schema,
             )
 
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(text_column).cast("string").alias("text"),
     ).mapInArrow(run, SCHEMA)

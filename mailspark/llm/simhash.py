@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import text_slices, word_chunks
+from mailspark.llm.common import small_batches, text_slices, word_chunks
 from mailspark.llm.components import components
 from mailspark.sources.scratch import written
 
@@ -95,7 +95,7 @@ def fingerprints(
                 [*(rows.column(c) for c in kept), pa.array(values.view(np.int64))], [*kept, "fp"]
             )
 
-    docs = docs.select("doc_id", *carry, "text")
+    docs = small_batches(docs).select("doc_id", *carry, "text")
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.drop("text").dtypes)
     return docs.mapInArrow(run, f"{schema}, fp long")
 

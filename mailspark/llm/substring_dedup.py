@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import text_slices
+from mailspark.llm.common import small_batches, text_slices
 from mailspark.llm.fm_index import FMIndex
 from mailspark.sources.scratch import written
 
@@ -47,7 +47,7 @@ SHARD_WORDS = 1_000_000
 HOT_SEGMENTS = 10_000
 LAST = (1 << 63) - 1
 #: Words whose hash a worker remembers; only speed depends on it.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 _U = np.uint64
 # Odd factors of the rolling hashes.
@@ -379,7 +379,7 @@ def repeated_passages(
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256, spans of removed words."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    docs = docs.select(
+    docs = small_batches(docs).select(
         order_of(F.col(id_column)).alias("ord"), F.xxhash64(text).alias("text_key"), text.alias("text")
     )
     row = ["ord", "text_key"]

@@ -38,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailspark.llm.common import small_batches
 from mailspark.sources.scratch import scratch_path, written
 
 CHUNK = 1 << 16
@@ -231,7 +232,7 @@ def write_archives(
     payload_column: str = "html",
 ) -> DataFrame:
     """Archives in ``folder`` (any file system pyarrow reaches); returns (path, records)."""
-    pages = pages.select(
+    pages = small_batches(pages).select(
         F.col(id_column).cast("long").alias("page_id"),
         F.col(url_column).cast("string").alias("url"),
         F.coalesce(F.col(payload_column).cast("string"), F.lit("")).alias("payload"),
