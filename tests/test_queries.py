@@ -7,6 +7,9 @@ from tools.check_queries import connect, difference, duckdb_rows, spark_rows
 
 FOLDER = "/root/testdata/sf0.001"
 STATEMENTS = oracle_sql()
+#: Some 25 fits each, which take minutes on tables of any size; ``tools/check_queries.py``
+#: compares them, and smaller searches are in test_models.py.
+MANY_FITS = {"linear_svm", "experiment_grid"}
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +17,7 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(STATEMENTS))
+@pytest.mark.parametrize("name", sorted(set(STATEMENTS) - MANY_FITS))
 def test_same_as_sql(spark, duck, name):
     found = spark_rows(queries()[name](spark, FOLDER))
     assert difference(found, duckdb_rows(duck, STATEMENTS[name])) is None
