@@ -3,8 +3,9 @@
 Candidates are matches of fixed patterns.  Spark gives the texts of all matches and
 the texts between them; the lengths of both, summed up along a text, are the places.
 Candidates' values are hashed, and the distinct repositories and owners of every hash
-are counted over the whole corpus.  A value that few owners hold is live-looking; one
-that many hold is an example that was copied around.
+are counted over the whole corpus.  A value that few owners hold is live-looking, in
+however many of their repositories it stands; one that many owners hold is an example
+that was copied around.
 
 The kinds ``assign``, ``access`` and ``hex`` are reported in any case, each with the
 verdict on its value.  The kind ``owned`` is added by the counts: a long token of mixed
@@ -37,9 +38,8 @@ ASSIGN_VALUE = 12
 OWNED = r"[A-Za-z0-9+/_-]{20,}"
 #: An owned token has at least so many different characters, letters and digits.
 DIFFERENT = 8
-#: Values held by as many owners, or repositories, are examples.
+#: Values held by as many owners are examples.
 WIDE_OWNERS = 5
-WIDE_REPOSITORIES = 100
 
 KINDS = ("assign", "access", "hex", "owned")
 PATTERNS = {"assign": (ASSIGN, 2), "access": (ACCESS, 0), "hex": (HEX, 0), "owned": (OWNED, 0)}
@@ -133,10 +133,7 @@ def ownership(spans: DataFrame) -> DataFrame:
             F.countDistinct("owner").alias("owners"),
             F.countDistinct("repository").alias("repositories"),
         )
-        .withColumn(
-            "live",
-            (F.col("owners") < WIDE_OWNERS) & (F.col("repositories") < WIDE_REPOSITORIES),
-        )
+        .withColumn("live", F.col("owners") < WIDE_OWNERS)
     )
 
 

@@ -66,6 +66,14 @@ def test_owned_tokens_are_added_and_examples_are_not(spark):
     assert all(r.spans == [] for r in many)
 
 
+def test_a_value_of_one_owner_is_live_in_any_number_of_documents(spark):
+    rows = [(i, f"some {KEY} here, token={KEY[::-1]}", "one owner") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in find_secrets(docs).collect():
+        assert [(KINDS[s.kind], s.live) for s in r.spans] == [("owned", True), ("assign", True)]
+    assert {r.text for r in mask_secrets(docs).collect()} == {f"some {MASK} here, token={MASK}"}
+
+
 def test_base_spans_of_examples_stay_but_are_not_live(spark):
     rows = [(i, "token=abcdefghijklmnop", f"o{i}") for i in range(WIDE_OWNERS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
