@@ -86,7 +86,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their ids, in sequences of several lengths."""
     pieces = pack(
-        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+        docs,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        find_special=True,
     )
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 

@@ -74,7 +74,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class _Wide(Exception):
-    """A space beside other white space."""
+    """A space beside other white space, or an added token."""
 
 
 class WordTokens(dict):
@@ -83,16 +83,23 @@ class WordTokens(dict):
     The vocabulary's own pattern cuts a text into parts that are encoded one by one.  It
     never joins a part with a single space behind it, so the ids of a text are those of
     its words, each with the space before it.  Where a space stands beside other white
-    space the pattern looks beyond it; such a text is encoded as a whole.
+    space the pattern looks beyond it; such a text is encoded as a whole, and so is one
+    that holds an added token.  With ``find_special`` special tokens are among these, as
+    the library has it by default; without, their letters are text like any other.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, find_special: bool = False):
         import regex
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not find_special
+        self.added = [
+            t.content
+            for t in self.tokenizer.get_added_tokens_decoder().values()
+            if find_special or not t.special
+        ]
         self.tokenize = self.tokenizer.model.tokenize
         self.parts_of = regex.compile(pattern).findall
         self.letters = byte_letters()
@@ -123,7 +130,7 @@ class WordTokens(dict):
     def encode_text(self, text: str) -> bytes:
         first, *words = text.split(" ")
         try:
-            if first[-1:].isspace():
+            if first[-1:].isspace() or any(t in text for t in self.added):
                 raise _Wide
             return b"".join(map(self.known_part, self.parts_of(first))) + b"".join(
                 map(self.__getitem__, words)
@@ -237,17 +244,19 @@ def pack(
     id_column: str = "doc_id",
     text_column: str = "text",
     tiers: tuple[int, ...] = TIERS,
+    find_special: bool = False,
 ) -> DataFrame:
     """One row per piece with its ids (as unsigned little-endian 32-bit numbers).
 
     ``tokenizer`` is the path of a byte-level BPE file that every executor has, and
-    ``pattern`` the one by which that vocabulary cuts texts.
+    ``pattern`` the one by which that vocabulary cuts texts.  With ``find_special`` the
+    name of a special token in a text gets that token's id, otherwise those of its letters.
     """
     if any(t & (t - 1) for t in tiers):
         raise ValueError("tiers must be powers of two")
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = worker_tokens(tokenizer, pattern).encode
+        encode = worker_tokens(tokenizer, pattern, find_special).encode
         packer = Packer(TaskContext.get().partitionId() << 32, tiers)
         end = END_ID.to_bytes(ID_BYTES, "little")
         for rows, texts in text_slices(batches, "text"):
@@ -263,12 +272,13 @@ def pack(
     ).mapInArrow(packed, SCHEMA)
 
 
-_TOKENS: dict[str, WordTokens] = {}
+_TOKENS: dict[tuple, WordTokens] = {}
 
 
-def worker_tokens(path: str, pattern: str) -> WordTokens:
+def worker_tokens(path: str, pattern: str, find_special: bool = False) -> WordTokens:
     """One vocabulary and one memory of words per Python worker."""
-    if path not in _TOKENS:
+    key = path, pattern, find_special
+    if key not in _TOKENS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _TOKENS[path] = WordTokens(path, pattern)
-    return _TOKENS[path]
+        _TOKENS[key] = WordTokens(*key)
+    return _TOKENS[key]

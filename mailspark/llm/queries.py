@@ -107,6 +107,7 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents", "doc_id", "text"),
         public_tokenizers.path(BYTE_VOCABULARY),
         public_tokenizers.PATTERN,
+        find_special=True,
     )
     return pieces.select(
         "doc_id",

@@ -5,7 +5,9 @@ from collections import defaultdict
 import public_tokenizers
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from mailspark.llm.packing import TIERS, WordTokens, pack
+from mailspark.llm.queries import packing
 from tests.llm.helpers import EDGE, empty, table
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -87,3 +89,23 @@ def test_words_are_encoded_as_the_library_does():
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
         ids = known.encode(text, add_special_tokens=False).ids
         assert ours.encode_text(text) == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_queries_find_special_tokens_as_the_library_does(spark, tmp_path):
+    known = Tokenizer.from_file(PATH)
+    documents = [
+        (1, "end <|endoftext|> next"),
+        (2, "<|endoftext|>"),
+        (3, "a<|endoftext|><|endoftext|>b <|endoftext |> c"),
+        (4, "nothing of the kind"),
+    ]
+    table(spark, documents).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    expected = {i: [*known.encode(t, add_special_tokens=False).ids, 0] for i, t in documents}
+    assert expected[1] == [437, 220, 50256, 1306, 0]
+    query = {r.doc_id: r.doc_tokens for r in packing(spark, str(tmp_path)).collect()}
+    assert query == {i: len(ids) for i, ids in expected.items()}
+    found = defaultdict(list)
+    for r in sorted(corpus_pipeline.packing(spark, docs, "").collect(), key=lambda r: (r.doc_id, r.start)):
+        found[r.doc_id] += struct.unpack(f"<{r.length}I", r.ids)
+    assert found == expected
