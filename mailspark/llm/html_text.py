@@ -22,7 +22,8 @@ every leaf of a usual page), which Spark joins as their size demands.
 Rows: a null page or one without content has an empty text; a null or unreadable url has
 no host, and such pages share no template; repeated rows and ids are extracted each, and
 count as pages of the host each; an empty table gives no rows; other columns are not
-read.  Elements nested deeper than ``DEEPEST`` are treated as siblings at that depth.
+read.  Below ``DEEPEST`` elements are followed, but their texts have the place of texts of
+the element at that depth.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -127,6 +129,9 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#page", "#page", False, False)
         self.open: list[Node] = [self.root]
+        # Where in ``open`` the elements of each tag are, and the walls.
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.walls: list[int] = []
         self.silent: list[str] = []
         self.run: list[str] = []
         self.hushed: list[str] = []
@@ -136,7 +141,8 @@ class TreeBuilder(HTMLParser):
         self.run = []
         if text:
             at = self.open[-1]
-            at.children.append(Node(TEXT, TEXT, at.dropped, at.article, text))
+            parent = self.open[min(len(self.open), DEEPEST) - 1]
+            parent.children.append(Node(TEXT, TEXT, at.dropped, at.article, text))
 
     def handle_starttag(self, tag, attrs):
         if self.silent:
@@ -161,22 +167,31 @@ class TreeBuilder(HTMLParser):
         if tag != "p" and tag in CLOSES:
             self.imply(CLOSES[tag])
         elif self.open[-1].tag == "p":
-            self.open.pop()
+            self.shut(len(self.open) - 1)
         at = self.open[-1]
         label = ".".join([tag, *(re.sub(r"\d+", "", n) for n in names if n)])
         article = at.article or tag in ("article", "main") or found.get("role") == "main"
         node = Node(tag, label, at.dropped or _aside(tag, found, names, at.article), article)
-        at.children.append(node)
-        if tag not in VOID and len(self.open) < DEEPEST:
+        if len(self.open) < DEEPEST:
+            at.children.append(node)
+        if tag not in VOID:
+            self.places[tag].append(len(self.open))
+            if tag in WALLS:
+                self.walls.append(len(self.open))
             self.open.append(node)
 
     def imply(self, tags: set[str]) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                del self.open[i:]
-                return
-            if self.open[i].tag in WALLS:
-                return
+        at = max((self.places[t][-1] for t in tags if self.places[t]), default=0)
+        if at > (self.walls[-1] if self.walls else 0):
+            self.shut(at)
+
+    def shut(self, at: int) -> None:
+        """Close the open elements from that place on."""
+        for node in reversed(self.open[at:]):
+            self.places[node.tag].pop()
+            if node.tag in WALLS:
+                self.walls.pop()
+        del self.open[at:]
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -194,10 +209,8 @@ class TreeBuilder(HTMLParser):
             return
         self.hushed.clear()
         self.flush()
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
+        if self.places[tag]:
+            self.shut(self.places[tag][-1])
 
     def handle_data(self, data):
         if not self.silent and not self.hushed:

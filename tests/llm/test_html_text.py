@@ -46,6 +46,14 @@ def test_deep_and_broken_markup():
     assert main_text("</p></div>a<p>b</div></span>c<li>d", set()) == "a\n\nb\n\nc\n\nd"
 
 
+def test_text_after_closed_deep_nesting():
+    deep = "<div>" * 70 + "in<nav>menu</nav><div class=comments>nice</div>x" + "</div>" * 70
+    html = page(f"<div class=wrap><article><p>a</p>{deep}<p>b</p><ul><li>c<li>d</ul></article>out</div>")
+    assert main_text(html, set()) == "a\n\nin\n\nx\n\nb\n\nc\n\nd"
+    lists = "<ul><li>e" * 200 + "</ul>" * 200
+    assert main_text(page(f"<main>{lists}<p>f</p></main>g"), set()) == "\n\n".join("e" * 200 + "f")
+
+
 def test_simple_tree_matching():
     a = ("x", (("a", ()), ("b", (("c", ()),)), ("d", ())))
     b = ("x", (("b", (("c", ()), ("e", ()))), ("a", ()), ("d", ())))
