@@ -20,9 +20,9 @@ The second scan needs only the constant texts of each host (hashes, at most a fe
 every leaf of a usual page), which Spark joins as their size demands.
 
 Rows: a null page or one without content has an empty text; a null or unreadable url has
-no host, and such pages share no template; repeated rows and ids are extracted each, and
-count as pages of the host each; an empty table gives no rows; other columns are not
-read.  Below ``DEEPEST`` elements are followed, but their texts have the place of texts of
+no host, and such pages share no template; repeated rows and ids are extracted each, but
+pages of a host with the same texts outside the regions above count as one for its
+template; an empty table gives no rows; other columns are not read.  Below ``DEEPEST`` elements are followed, but their texts have the place of texts of
 the element at that depth.
 """
 
@@ -389,20 +389,24 @@ def leaves(node: Node, path: str = "") -> Iterator[tuple[Node, str]]:
 
 
 def page_shapes(pages: DataFrame) -> DataFrame:
-    """Of each page: host, its shape, and its texts as (node in the shape, path, hash)."""
+    """Of each page: host, its shape, and a hash of its texts outside regions that are
+    dropped anyway, and these as (node in the shape, hash with the path, in an article)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, htmls in text_slices(batches, "html"):
-            found: dict[str, list] = {"host": [], "shape": [], "texts": []}
+            found: dict[str, list] = {"host": [], "content": [], "shape": [], "texts": []}
             for url, html in zip(rows.column("url").to_pylist(), htmls):
                 root = parse(html)
                 shape = shape_of(root)
-                paths = {id(n): p for n, p in leaves(root)}
+                kept = [(n, p) for n, p in leaves(root) if not n.dropped]
+                paths = {id(n): p for n, p in kept}
                 texts = {
                     (number, hash64(paths[id(n)], n.text), n.article)
                     for n, number in numbered(root, shape)
+                    if id(n) in paths
                 }
                 found["host"].append(host_of(url))
+                found["content"].append(hash64(*(n.text for n, _ in kept)))
                 found["shape"].append(packed(shape))
                 found["texts"].append(
                     [{"node": a, "hash": b, "article": c} for a, b, c in sorted(texts)]
@@ -410,6 +414,7 @@ def page_shapes(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "host": pa.array(found["host"], pa.string()),
+                    "content": pa.array(found["content"], pa.int64()),
                     "shape": pa.array(found["shape"], pa.string()),
                     "texts": pa.array(
                         found["texts"],
@@ -424,7 +429,8 @@ def page_shapes(pages: DataFrame) -> DataFrame:
 
     return pages.select("url", "html").mapInArrow(
         run,
-        "host string, shape string, texts array<struct<node: int, hash: long, article: boolean>>",
+        "host string, content long, shape string, "
+        "texts array<struct<node: int, hash: long, article: boolean>>",
     )
 
 
@@ -476,7 +482,16 @@ def wrapper_nodes(shapes: DataFrame) -> DataFrame:
 
 def templates(pages: DataFrame) -> DataFrame:
     """host, constants: hashes of the texts that are template on a host."""
-    found = written(page_shapes(pages).where("host <> ''"), "page-shapes")
+    # Copies of a page say nothing about what is constant; one of them is counted.
+    one = F.min(F.struct("shape", "texts")).alias("page")
+    found = written(
+        page_shapes(pages)
+        .where((F.col("host") != "") & (F.size("texts") > 0))
+        .groupBy("host", "content")
+        .agg(one)
+        .select("host", "page.*"),
+        "page-shapes",
+    )
     shapes = written(
         found.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("pages")), "shapes"
     )

@@ -102,6 +102,18 @@ def test_copied_articles_stay(spark):
     assert sum(r.text == "The same story." for r in extract(docs).collect()) == 20
 
 
+def test_copies_count_as_one_page(spark):
+    story = "<div><p>The same story.</p><p>It goes on.</p></div>"
+    own = [page(f"<nav>{i}</nav><div><p>Own {i}</p></div><div>Rights kept</div>") for i in range(6)]
+    copies = [page(f"<nav>{i}</nav>{story}<div>Rights kept</div>") for i in range(20)]
+    rows = [(i, f"http://c.example/{i}", h) for i, h in enumerate(own + copies)]
+    only = [(100 + i, "http://d.example/", page(f"<article>{story}</article>")) for i in range(9)]
+    docs = spark.createDataFrame(rows + only, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in extract(docs).collect()}
+    assert [found[i] for i in range(6)] == [f"Own {i}" for i in range(6)]
+    assert {t for i, t in found.items() if i >= 6} == {"The same story.\n\nIt goes on."}
+
+
 def test_edge_rows(spark):
     docs = table(spark, EDGE, text="html").withColumnRenamed("doc_id", "page_id")
     docs = docs.withColumnRenamed("source", "url")
