@@ -11,6 +11,9 @@
 * *Template and slots.* Texts are counted for each wrapper node over all pages of the
   host.  A node where most pages have the same text is template; a node whose texts vary
   is a slot, and its texts are content.
+  Of two to four different pages all must have it, and if such texts are the larger part
+  of these pages, they are versions of one page rather than pages of one template.  A
+  single page has no template.
 * *Regions.* Varying text is still no content in menus, headers, footers, sidebars,
   notices, adverts, forms and comments, which vary from page to page too; these are known
   by element, role, class and id.  If a page has an article or main element with text
@@ -48,8 +51,8 @@ from mailspark.sources.scratch import written
 #: an article the second share.
 TEMPLATE_SHARE = 0.5
 ARTICLE_SHARE = 0.9
-#: Hosts with fewer pages have no template.
-LEAST_PAGES = 5
+#: On hosts with fewer different pages a template text is on all of them.
+FEW_PAGES = 5
 DEEPEST = 60
 FOLD_GROUPS = 16
 
@@ -390,7 +393,7 @@ def leaves(node: Node, path: str = "") -> Iterator[tuple[Node, str]]:
 
 def page_shapes(pages: DataFrame) -> DataFrame:
     """Of each page: host, its shape, and a hash of its texts outside regions that are
-    dropped anyway, and these as (node in the shape, hash with the path, in an article)."""
+    dropped anyway, and these as (node in the shape, hash with the path, in an article, size)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, htmls in text_slices(batches, "html"):
@@ -401,7 +404,7 @@ def page_shapes(pages: DataFrame) -> DataFrame:
                 kept = [(n, p) for n, p in leaves(root) if not n.dropped]
                 paths = {id(n): p for n, p in kept}
                 texts = {
-                    (number, hash64(paths[id(n)], n.text), n.article)
+                    (number, hash64(paths[id(n)], n.text), n.article, len(n.text))
                     for n, number in numbered(root, shape)
                     if id(n) in paths
                 }
@@ -409,7 +412,10 @@ def page_shapes(pages: DataFrame) -> DataFrame:
                 found["content"].append(hash64(*(n.text for n, _ in kept)))
                 found["shape"].append(packed(shape))
                 found["texts"].append(
-                    [{"node": a, "hash": b, "article": c} for a, b, c in sorted(texts)]
+                    [
+                        {"node": a, "hash": b, "article": c, "size": d}
+                        for a, b, c, d in sorted(texts)
+                    ]
                 )
             yield pa.RecordBatch.from_pydict(
                 {
@@ -420,7 +426,12 @@ def page_shapes(pages: DataFrame) -> DataFrame:
                         found["texts"],
                         pa.list_(
                             pa.struct(
-                                [("node", pa.int32()), ("hash", pa.int64()), ("article", pa.bool_())]
+                                [
+                                    ("node", pa.int32()),
+                                    ("hash", pa.int64()),
+                                    ("article", pa.bool_()),
+                                    ("size", pa.int64()),
+                                ]
                             )
                         ),
                     ),
@@ -430,7 +441,7 @@ def page_shapes(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html").mapInArrow(
         run,
         "host string, content long, shape string, "
-        "texts array<struct<node: int, hash: long, article: boolean>>",
+        "texts array<struct<node: int, hash: long, article: boolean, size: long>>",
     )
 
 
@@ -492,31 +503,38 @@ def templates(pages: DataFrame) -> DataFrame:
         .select("host", "page.*"),
         "page-shapes",
     )
+    size = F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + t["size"])
     shapes = written(
-        found.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("pages")), "shapes"
+        found.groupBy("host", "shape").agg(
+            F.count(F.lit(1)).alias("pages"), F.sum(size).alias("all_size")
+        ),
+        "shapes",
     )
     nodes = written(wrapper_nodes(shapes.select("host", "shape")), "wrapper-nodes")
     texts = (
         found.select("host", "shape", F.explode("texts").alias("t"))
-        .groupBy("host", "shape", "t.node", "t.hash", "t.article")
+        .groupBy("host", "shape", "t.node", "t.hash", "t.article", "t.size")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    total = shapes.groupBy("host").agg(F.sum("pages").alias("pages"))
+    total = shapes.groupBy("host").agg(
+        F.sum("pages").alias("pages"), F.sum("all_size").alias("all_size")
+    )
+    few = F.col("pages") < FEW_PAGES
+    share = F.when(few, 1.0).when(F.col("article"), ARTICLE_SHARE).otherwise(TEMPLATE_SHARE)
     constant = (
         texts.join(nodes, ["host", "shape"])
-        .select("host", "hash", "article", F.col("nodes")[F.col("node")].alias("node"), "n")
-        .groupBy("host", "node", "hash", "article")
-        .agg(F.sum("n").alias("n"))
-        .join(total.where(F.col("pages") >= LEAST_PAGES), "host")
-        .where(
-            F.col("n")
-            >= F.col("pages")
-            * F.when(F.col("article"), ARTICLE_SHARE).otherwise(TEMPLATE_SHARE)
+        .select(
+            "host", "hash", "article", "size", F.col("nodes")[F.col("node")].alias("node"), "n"
         )
+        .groupBy("host", "node", "hash", "article", "size")
+        .agg(F.sum("n").alias("n"))
+        .join(total.where("pages > 1"), "host")
+        .where(F.col("n") >= F.col("pages") * share)
+        .groupBy("host", "pages", "all_size")
+        .agg(F.collect_set("hash").alias("constants"), F.sum(F.col("n") * F.col("size")).alias("same"))
+        .where(~few | (F.col("same") * 2 <= F.col("all_size")))
     )
-    return written(
-        constant.groupBy("host").agg(F.collect_set("hash").alias("constants")), "templates"
-    )
+    return written(constant.select("host", "constants"), "templates")
 
 
 def main_text(html: str, constants: set[int]) -> str:

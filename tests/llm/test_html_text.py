@@ -114,6 +114,21 @@ def test_copies_count_as_one_page(spark):
     assert {t for i, t in found.items() if i >= 6} == {"The same story.\n\nIt goes on."}
 
 
+def test_template_of_few_pages(spark):
+    bodies = [f"<div><p>Page {i} says {w * 30}</p></div>" for i, w in enumerate("abcd")]
+    kept, story = "<div>All rights kept</div>", "<div><p>One long story.</p></div>"
+    hosts = {f"h{n}": [b + kept for b in bodies[:n]] for n in (1, 2, 3, 4)}
+    hosts["some"] = [bodies[0] + kept, bodies[1] + kept, bodies[2]]
+    hosts["versions"] = [f"{story}<div>Seen {i} times</div>" for i in (5, "many")]
+    rows = [(n, f"http://{h}.example/{n}", page(b)) for h, bs in hosts.items() for n, b in enumerate(bs)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {(r.url.split(".")[0][7:], r.page_id): r.text for r in extract(docs).collect()}
+    for (host, i), text in found.items():
+        assert ("All rights kept" in text) == (host == "h1" or host == "some" and i < 2)
+        assert ("One long story." in text) == (host == "versions")
+        assert host == "versions" or f"Page {i} says" in text
+
+
 def test_edge_rows(spark):
     docs = table(spark, EDGE, text="html").withColumnRenamed("doc_id", "page_id")
     docs = docs.withColumnRenamed("source", "url")
