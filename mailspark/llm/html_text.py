@@ -16,7 +16,9 @@
   single page has no template.
 * *Regions.* Varying text is still no content in menus, headers, footers, sidebars,
   notices, adverts, forms and comments, which vary from page to page too; these are known
-  by element, role, class and id.  If a page has an article or main element with text
+  by element, role, class and id.  Inside an article, and of inline elements, only a class
+  or id that names such a region as a whole counts; inline elements of an article and of
+  code stay whatever their names.  If a page has an article or main element with text
   outside such regions, its content lies there.
 
 The second scan needs only the constant texts of each host (hashes, at most a few for
@@ -64,7 +66,7 @@ BLOCKS = frozenset(
     "tr ul".split()
 )
 SILENT = frozenset(
-    "audio button canvas datalist embed head iframe input link map math meta meter "
+    "annotation annotation-xml audio button canvas datalist embed head iframe input link map meta meter "
     "noembed noframes noscript object option optgroup output progress script select style "
     "svg template textarea title video".split()
 )
@@ -78,12 +80,22 @@ ROLES = frozenset(
 )
 NAMES = frozenset(
     "ad ads adbox adsense advert advertisement advertising adverts alert banner breadcrumb "
-    "breadcrumbs byline comment comments commentlist consent cookie cookies copyright "
+    "breadcrumbs comment comments commentlist consent cookie cookies copyright "
     "disclaimer disqus footer form gdpr header login masthead menu modal nav navbar "
     "navigation newsletter notice notices notification overlay pager pagination popup promo "
     "promoted promotion recommended related replies reply respond search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+#: Words that go with these in a name of such a region.
+BOXES = frozenset(
+    "area bar block box button buttons container form icons inner item items links list "
+    "module panel posts section slot thread unit wrap wrapper".split()
+)
+#: Words by which a name tells a title, or a state of what it stands at.
+TITLES = frozenset("article entry post section story title".split())
+STATES = frozenset(
+    "accepted active closed disabled enabled has is no off on open ready with without".split()
+)
 #: Opening one of these closes an open element of the second set.
 CLOSES = {
     "li": {"li"},
@@ -121,8 +133,28 @@ def _aside(tag: str, attrs: dict, names: list[str], in_article: bool) -> bool:
         return True
     if "hidden" in attrs or (attrs.get("role") or "").lower() in ROLES:
         return True
-    words = {w for n in names for w in PARTS.findall(n)}
-    return tag not in ("html", "body", "article", "main") and not words.isdisjoint(NAMES)
+    if tag in ("html", "body", "article", "main"):
+        return False
+    if tag in BLOCKS and not in_article:
+        return any(map(_names_region, names))
+    # Inside an article, and of inline elements, the name as a whole has to be one.
+    return not (in_article and tag not in BLOCKS) and any(map(_is_region, names))
+
+
+@lru_cache(maxsize=1 << 14)
+def _names_region(name: str) -> bool:
+    """A class or id with the word of a region."""
+    words = set(PARTS.findall(name))
+    if not STATES.isdisjoint(words):
+        return False
+    return not (words & NAMES).issubset({"header"} if words & TITLES else ())
+
+
+@lru_cache(maxsize=1 << 14)
+def _is_region(name: str) -> bool:
+    """A class or id that names a region as a whole; a header has to be one outside."""
+    words = set(PARTS.findall(name))
+    return "header" not in words and not words.isdisjoint(NAMES) and words <= NAMES | BOXES
 
 
 class TreeBuilder(HTMLParser):
@@ -138,6 +170,7 @@ class TreeBuilder(HTMLParser):
         self.silent: list[str] = []
         self.run: list[str] = []
         self.hushed: list[str] = []
+        self.code = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.run).split())
@@ -162,8 +195,12 @@ class TreeBuilder(HTMLParser):
         if tag not in BLOCKS:
             if tag == "br":
                 self.run.append(" ")
-            elif tag not in VOID and (self.hushed or found and _aside(tag, found, names, at.article)):
-                self.hushed.append(tag)
+            elif tag not in VOID:
+                in_code = self.code or self.places["pre"]
+                if self.hushed or found and _aside(tag, found, names, at.article or in_code):
+                    self.hushed.append(tag)
+                elif tag == "code":
+                    self.code += 1
             return
         self.hushed.clear()
         self.flush()
@@ -209,6 +246,8 @@ class TreeBuilder(HTMLParser):
         if tag not in BLOCKS:
             if tag in self.hushed:
                 del self.hushed[len(self.hushed) - 1 - self.hushed[::-1].index(tag) :]
+            elif tag == "code" and self.code:
+                self.code -= 1
             return
         self.hushed.clear()
         self.flush()

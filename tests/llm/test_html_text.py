@@ -35,6 +35,28 @@ def test_article_without_the_rest():
     assert main_text(html, set()) == "\n\n".join(expected)
 
 
+def test_names_that_only_sound_like_regions():
+    inside = (
+        "<div class='entry-header'><h1>Head</h1></div><p class='byline'>By A</p>"
+        "<section class='article-body share-enabled'><p>Text</p><pre>x = 1 "
+        "<span class='hljs-comment'># one</span> <span class='token comment'># two</span></pre>"
+        "<p>so <math><semantics><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a=2</annotation>"
+        "</semantics></math> <a class='share'>here</a></p></section>"
+    )
+    gone = (
+        "<div class='comments'>Nice</div><div class='related-posts'>More</div><div id='ad-1'>Buy"
+        "</div><div class='newsletter-signup x'>Join</div><ul class='share-links'><li>Send</ul>"
+        "<span hidden>never</span>"
+    )
+    expected = "Head\n\nBy A\n\nText\n\nx = 1 # one # two\n\nso a=2 here"
+    assert main_text(page(f"<article>{inside}{gone}</article>"), set()) == expected
+    bare = inside.replace(" <a class='share'>here</a>", "")
+    around = "<div class='site-header'>Site</div><div class='top-nav'>Menu</div><a class='skip'>Go</a>"
+    assert main_text(page(around + bare + gone), set()) == expected.removesuffix(" here")
+    code = "<div class='page has-sidebar'>is <code>1 <i class='comment'>#</i></code> and <i class=ad>Buy</i></div>"
+    assert main_text(page(code), set()) == "is 1 # and"
+
+
 def test_pages_without_an_article():
     assert main_text(page("<div>Text <i>one</i></div><p>two</p><nav>x</nav>"), set()) == "Text one\n\ntwo"
     assert main_text("plain < text & more", set()) == "plain < text & more"
