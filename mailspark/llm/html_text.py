@@ -6,8 +6,8 @@
 * *Alignment.* The shapes of a host's pages are aligned by simple tree matching (the
   largest order-preserving match of nodes with equal labels below equal labels) and
   folded into a wrapper that has every node of every shape once.  Shapes are counted
-  first, so a host's pages meet as a few shapes; these are folded in several groups of
-  a host, then the groups' wrappers.
+  first, so a host's pages meet as a few shapes; these are folded in groups of about
+  ``FOLD_SHAPES``, then the groups' wrappers likewise, until a host has one.
 * *Template and slots.* Texts are counted for each wrapper node over all pages of the
   host.  A node where most pages have the same text is template; a node whose texts vary
   is a slot, and its texts are content.
@@ -43,7 +43,7 @@ from html.parser import HTMLParser
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailspark.llm.common import small_batches, text_slices
@@ -56,7 +56,7 @@ ARTICLE_SHARE = 0.9
 #: On hosts with fewer different pages a template text is on all of them.
 FEW_PAGES = 5
 DEEPEST = 60
-FOLD_GROUPS = 16
+FOLD_SHAPES = 64
 
 # Elements by what they are for.
 BLOCKS = frozenset(
@@ -496,37 +496,46 @@ def folded(shapes: DataFrame, *by) -> DataFrame:
     return shapes.groupBy("host", *by).applyInArrow(run, "host string, shape string")
 
 
+def fold_group(shapes: DataFrame) -> tuple[int, Column]:
+    """How many groups leave about ``FOLD_SHAPES`` of a host in one, and a row's group."""
+    counts = shapes.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.agg(F.max("n")).first()[0] or 0
+    groups = max(1, -(-most // FOLD_SHAPES))
+    return groups, F.pmod(F.xxhash64("shape"), F.lit(groups)).alias("group")
+
+
 def wrappers(shapes: DataFrame) -> DataFrame:
-    """host, wrapper: from (host, shape), folded in groups of a host, then together."""
-    group = F.pmod(F.xxhash64("shape"), F.lit(FOLD_GROUPS)).alias("group")
-    parts = folded(shapes.select("host", "shape", group), "group")
-    return folded(parts).withColumnRenamed("shape", "wrapper")
+    """host, wrapper: from (host, shape), folded in groups of a host round by round."""
+    left = shapes.select("host", "shape")
+    groups, group = fold_group(left)
+    while groups > 1:
+        left = written(folded(left.select("host", "shape", group), "group"), "folded-shapes")
+        groups, group = fold_group(left)
+    return folded(left).withColumnRenamed("shape", "wrapper")
 
 
 def wrapper_nodes(shapes: DataFrame) -> DataFrame:
     """For each (host, shape) the wrapper's node of each node of the shape."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = [
-                aligned(unpacked(s), unpacked(w))
-                for s, w in zip(
-                    batch.column("shape").to_pylist(), batch.column("wrapper").to_pylist()
-                )
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("host"),
-                    batch.column("shape"),
-                    pa.array(nodes, pa.list_(pa.int32())),
-                ],
-                ["host", "shape", "nodes"],
-            )
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table, wrapper: pa.Table) -> pa.Table:
+        found = unpacked(wrapper.column("wrapper")[0].as_py())
+        nodes = [aligned(unpacked(s), found) for s in group.column("shape").to_pylist()]
+        return pa.table(
+            {
+                "host": group.column("host"),
+                "shape": group.column("shape"),
+                "nodes": pa.array(nodes, pa.list_(pa.int32())),
+            }
+        )
 
+    # A group of shapes gets the wrapper once.
+    grouped = shapes.select("host", "shape", fold_group(shapes)[1])
+    sent = grouped.select("host", "group").distinct().join(wrappers(shapes), "host")
+    sent = sent.toDF("of_host", "of_group", "wrapper")
     return (
-        shapes.join(wrappers(shapes), "host")
-        .select("host", "shape", "wrapper")
-        .mapInArrow(run, "host string, shape string, nodes array<int>")
+        grouped.groupBy("host", "group")
+        .cogroup(sent.groupBy("of_host", "of_group"))
+        .applyInArrow(run, "host string, shape string, nodes array<int>")
     )
 
 

@@ -1,5 +1,7 @@
 import random
+from itertools import permutations
 
+from mailspark.llm import html_text
 from mailspark.llm.html_text import (
     aligned,
     extract,
@@ -151,6 +153,25 @@ def test_template_of_few_pages(spark):
         assert host == "versions" or f"Page {i} says" in text
 
 
+def test_shapes_of_a_host_are_folded_in_bounded_groups(spark, monkeypatch):
+    sizes, real = [], html_text.folded
+
+    def folded(shapes, *by):
+        sizes.extend(r["count"] for r in shapes.groupBy("host", *by).count().collect())
+        return real(shapes, *by)
+
+    monkeypatch.setattr(html_text, "folded", folded)
+    found = [("x", tuple((t, ()) for t in p)) for n in (4, 5, 6) for p in permutations("abcdef", n)]
+    rows = [("h", html_text.packed(s)) for s in found] + [("i", html_text.packed(found[0]))]
+    rows += [("h", html_text.packed(("x", tuple((t, ()) for t in f"{a}{b}")))) for a in "ghijklmnopqrst" for b in "uvwxyz0123456789"]
+    shapes = spark.createDataFrame(rows, "host string, shape string")
+    nodes = html_text.wrapper_nodes(shapes).collect()
+    assert len(rows) > 1500 and max(sizes) < 120
+    assert sorted((r.host, r.shape) for r in nodes) == sorted(rows)
+    for r in nodes:
+        assert -1 not in r.nodes and r.nodes == sorted(set(r.nodes))
+
+
 def test_edge_rows(spark):
     docs = table(spark, EDGE, text="html").withColumnRenamed("doc_id", "page_id")
     docs = docs.withColumnRenamed("source", "url")
