@@ -25,7 +25,7 @@ from mailspark.llm.secret_scan import mask_secrets
 from mailspark.llm.simhash import near_duplicates
 from mailspark.sources.scratch import written
 
-#: Least share of letters in the language of a document.
+#: Least share of letters in the language of a document that isn't mixed; mixed ones stay.
 LEAST_SCORE = 0.5
 LAST = (1 << 63) - 1
 
@@ -60,9 +60,12 @@ def _kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which one language holds the larger part."""
-    found = language_column(language_model(docs))(F.col("text"))
-    return docs.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= LEAST_SCORE))
+    """Documents with a letter, in one language or several."""
+    model = language_model(docs)
+    if not model.langs:
+        # Without labels nothing is learned, and no language can be told.
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return docs.where(language_column(model)(F.col("text"))["lang_pred"] != UNKNOWN)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

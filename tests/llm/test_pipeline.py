@@ -102,3 +102,18 @@ def test_rows_that_repeat_the_id_but_not_the_text(spark, tmp_path):
         "one text here",
         "quite another one",
     ]
+
+
+def test_mixed_texts_stay_and_so_do_all_without_labels(spark, tmp_path):
+    words = {"aa": "abcde", "bb": "fghij", "cc": "klmno"}
+    rows = [(i, " ".join([w] * 30), k) for i in range(60) for k, w in words.items()]
+    mixed = " ".join([words["aa"]] * 40 + [words["bb"]] * 35 + [words["cc"]] * 25)
+    docs = spark.createDataFrame(
+        [*rows, (100, mixed, None), (101, "12 34", None)], "doc_id long, text string, lang string"
+    )
+    score = verdicts(language_model(docs), [mixed])[0][1]
+    assert 0 < score < corpus_pipeline.LEAST_SCORE
+    kept = {r.doc_id for r in stage(spark, "language", docs, tmp_path).collect()}
+    assert 100 in kept and 101 not in kept
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert STAGES["language"](spark, bare, FOLDER).count() == len(rows) + 1
