@@ -10,11 +10,15 @@ from mailspark.llm.common import hex_sha256, table
 from mailspark.llm.exact_dedup import exact_duplicates
 from mailspark.llm.html_text import extract
 from mailspark.llm.language import held_out, language_model, predict
+from mailspark.llm.lexical_search import rank_documents
+from mailspark.llm.mil_quality import THRESHOLD, quality_model, score_documents
+from mailspark.llm.mil_quality import held_out as quality_held_out
 from mailspark.llm.packing import pack
 from mailspark.llm.pieces import ID_BYTES, MARK, encode_and_decode
 from mailspark.llm.repetition import judge, measure
 from mailspark.llm.secret_scan import KINDS, find_secrets
 from mailspark.llm.simhash import near_duplicates
+from mailspark.llm.spelling import spelling_variants
 from mailspark.llm.substring_dedup import repeated_passages
 from mailspark.llm.warc import round_trip
 
@@ -122,6 +126,28 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_documents(
+        table(spark, folder, "documents", "doc_id", "text"),
+        table(spark, folder, "benchmark", "item_id", "text"),
+    )
+
+
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    net = quality_model(docs, table(spark, folder, "labels", "doc_id", "quality"))
+    return score_documents(docs, net).select(
+        "doc_id",
+        quality_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op6_pieces": pieces,
     "op1_html": html_text,
@@ -133,4 +159,7 @@ QUERIES = {
     "op8_warc": warc,
     "op9_simhash": simhash,
     "op10_packing": packing,
+    "op11_lexical_search": lexical_search,
+    "op12_quality": quality,
+    "op13_spelling": spelling,
 }

@@ -208,7 +208,38 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
 FROM docs LEFT JOIN kept USING (doc_id)
 """
 
+LEXICAL_SEARCH = r"""
+WITH tokens AS (
+    SELECT kind, id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT 'document' AS kind, doc_id AS id, text FROM documents
+          UNION ALL SELECT 'item', item_id, text FROM benchmark)
+),
+counts AS (SELECT kind, id, term, count(*) AS tf FROM tokens GROUP BY ALL),
+lengths AS (SELECT id AS doc_id, sum(tf)::BIGINT AS n FROM counts WHERE kind = 'document' GROUP BY 1),
+corpus AS (SELECT count(*) AS documents, sum(n)::BIGINT AS terms FROM lengths),
+divisors AS (
+    SELECT doc_id, 12 * (100 - 25 + (25 * n * documents) // terms) AS by_length FROM lengths, corpus
+),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM counts, corpus WHERE kind = 'document' GROUP BY term, documents
+),
+scores AS (
+    SELECT q.id AS item_id, d.id AS doc_id,
+           sum(q.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + by_length)))::BIGINT AS score
+    FROM counts q JOIN counts d ON q.kind = 'item' AND d.kind = 'document' AND q.term = d.term
+    JOIN weights ON weights.term = q.term JOIN divisors ON divisors.doc_id = d.id
+    GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+       doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
 SQL = {
+    "op11_lexical_search": LEXICAL_SEARCH,
     "op3_repetition": REPETITION,
     "op4_secrets": SECRETS,
     "op5_exact_dedup": EXACT_DEDUP,
