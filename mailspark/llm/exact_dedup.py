@@ -1,15 +1,17 @@
 """Exact duplicates through integer names of blocks.
 
 Every text is cut into blocks of a fixed number of characters.  The distinct blocks
-are sorted and numbered; then the numbers of neighbouring blocks are paired, the
-distinct pairs numbered again, and so on until each text has one number.  Texts of
-the same number of levels are equal exactly when their numbers are.
+are sorted and named by their rank; then the names of neighbouring blocks are paired, the
+distinct pairs sorted and named again, and so on until each text has one name.  Texts of
+the same number of levels are equal exactly when their names are.  Names follow from the
+texts alone, not from how rows lie in partitions.
 
 * Each text crosses the network once, as blocks that were made distinct on the map
   side, so a text copied into a third of all rows is sent once per task.
 * Everything else moves 128-bit keys and integers.  A key stands for a block only
   after the naming has found that no two blocks share it; should two ever do, the
-  naming starts again with other keys.  So no result rests on a hash.
+  naming starts again with other keys.  So no result rests on a hash.  Blocks are sorted
+  by their first characters and then by key, so that no block is moved again for it.
 * Tables in the shared folder cut the lineage between levels.
 
 Everything runs as DataFrame and SQL functions.
@@ -21,7 +23,7 @@ other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailspark.llm.common import SPACE, hex_sha256
@@ -29,8 +31,12 @@ from mailspark.sources.scratch import written
 
 #: Characters in a block.
 BLOCK = 4096
+#: Characters of a block that it is sorted by before its key.
+HEAD = 16
 #: Keys are drawn anew at most so often before the naming gives up.
 TRIES = 8
+#: Bits of a row's place within its partition, in the numbers Spark gives to rows.
+PLACE_BITS = 33
 
 
 def normalised(text: Column) -> Column:
@@ -59,12 +65,42 @@ def block_names(docs: DataFrame, size: int, seed: int, key=block_key) -> DataFra
         .agg(F.collect_set("block").alias("blocks"))
     )
     names = written(
-        found.select("key", F.size("blocks").alias("n"), F.col("blocks")[0].alias("block"))
-        .sortWithinPartitions("block")
-        .select("key", "n", F.monotonically_increasing_id().alias("name")),
-        "block-names",
+        found.select(
+            "key",
+            F.size("blocks").alias("n"),
+            F.substring(F.col("blocks")[0], 1, HEAD).alias("head"),
+        ),
+        "blocks",
+    )
+    if names.where("n > 1").head(1):
+        return None
+    return ranked(names.select("key", "head"), "head", "key.a", "key.b").select("key", "name")
+
+
+def ranked(rows: DataFrame, *order: str) -> DataFrame:
+    """Adds ``name``: the rank of a row, from 0, in an order that tells all rows apart.
+
+    Rows are dealt by range and sorted there; a range begins where the earlier ones end.
+    """
+    placed = written(
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("place", F.monotonically_increasing_id()),
+        "sorted",
+    )
+    part, place = F.shiftright("place", PLACE_BITS), F.col("place").bitwiseAND((1 << PLACE_BITS) - 1)
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = (
+        placed.groupBy(part.alias("part"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("begin"))
+    )  # one row per partition
+    return (
+        placed.withColumn("part", part)
+        .join(F.broadcast(begins), "part")
+        .withColumn("name", F.col("begin") + place)
+        .drop("part", "begin", "place")
     )
-    return None if names.where("n > 1").head(1) else names.select("key", "name")
 
 
 def identities(
@@ -109,10 +145,7 @@ def identities(
             ),
         )
         names = written(
-            pairs.select("left", "right")
-            .distinct()
-            .sortWithinPartitions("left", "right")
-            .withColumn("name", F.monotonically_increasing_id()),
+            ranked(written(pairs.select("left", "right").distinct(), f"pairs-{n}"), "left", "right"),
             f"pair-names-{n}",
         )
         level = written(

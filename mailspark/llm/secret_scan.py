@@ -3,9 +3,10 @@
 Candidates are matches of fixed patterns.  Spark gives the texts of all matches and
 the texts between them; the lengths of both, summed up along a text, are the places.
 Candidates' values are hashed, and the distinct repositories and owners of every hash
-are counted over the whole corpus.  A value that few owners hold is live-looking, in
-however many of their repositories it stands; one that many owners hold is an example
-that was copied around.
+are counted over the whole corpus.  A value of one or two owners is live-looking, in
+however many of their repositories it stands.  One that ``WIDE_OWNERS`` hold is an example
+that was copied around, and so is one of ``SOME_OWNERS`` or more that stands in
+``COPIED`` repositories for each of them on average.
 
 The kinds ``assign``, ``access`` and ``hex`` are reported in any case, each with the
 verdict on its value.  The kind ``owned`` is added by the counts: a long token of mixed
@@ -38,8 +39,11 @@ ASSIGN_VALUE = 12
 OWNED = r"[A-Za-z0-9+/_-]{20,}"
 #: An owned token has at least so many different characters, letters and digits.
 DIFFERENT = 8
-#: Values held by as many owners are examples.
+#: Values held by as many owners are examples, and those held by some owners of which each
+#: has them in so many repositories.
 WIDE_OWNERS = 5
+SOME_OWNERS = 3
+COPIED = 10
 
 KINDS = ("assign", "access", "hex", "owned")
 PATTERNS = {"assign": (ASSIGN, 2), "access": (ACCESS, 0), "hex": (HEX, 0), "owned": (OWNED, 0)}
@@ -133,28 +137,32 @@ def ownership(spans: DataFrame) -> DataFrame:
             F.countDistinct("owner").alias("owners"),
             F.countDistinct("repository").alias("repositories"),
         )
-        .withColumn("live", F.col("owners") < WIDE_OWNERS)
+        .withColumn(
+            "live",
+            (F.col("owners") < WIDE_OWNERS)
+            & (
+                (F.col("owners") < SOME_OWNERS)
+                | (F.col("repositories") < COPIED * F.col("owners"))
+            ),
+        )
     )
 
 
-def _hits(docs: DataFrame, text: str, owner: str, repository: str) -> tuple[DataFrame, DataFrame]:
-    """All columns as ``doc`` of the rows with candidates, numbered; and their spans."""
-    hits = written(
-        docs.where(F.coalesce(F.col(text), F.lit("")).rlike(ANY)).select(
-            F.monotonically_increasing_id().alias("row"),
-            F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
-            F.col(text).alias("text"),
-            F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"),
-            F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
-        ),
-        "secret-hits",
-    )
+def _has_candidate(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")).rlike(ANY)
+
+
+def _holder(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def _judged(hits: DataFrame) -> DataFrame:
+    """Spans of the rows with candidates (row, text, repository, owner), with the verdict."""
     spans = written(candidates(hits), "secret-spans")
     live = ownership(spans)
-    judged = spans.join(live.select("hash", "live"), "hash").where(
+    return spans.join(live.select("hash", "live"), "hash").where(
         (F.col("kind") != 3) | F.col("live")
     )
-    return hits, judged
 
 
 def find_secrets(
@@ -174,21 +182,25 @@ def find_secrets(
         F.col(owner_column).cast("string").alias("owner"),
         F.col(repository_column).cast("string").alias("repository"),
     )
-    hits, judged = _hits(docs, "text", "owner", "repository")
+    # Each text is searched for candidates once; those without any leave their id only.
+    hit = F.struct("text", _holder("repository").alias("repository"), _holder("owner").alias("owner"))
+    rows = written(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            F.when(_has_candidate(F.col("text")), hit).alias("hit"),
+        ),
+        "secret-rows",
+    )
+    judged = _judged(rows.where(F.col("hit").isNotNull()).select("row", "hit.*"))
     spans = judged.groupBy("row").agg(
         F.array_sort(
             F.collect_list(F.struct("start", "kind", "stop", "hash", "live"))
         ).alias("spans")
     )
-    none = spans.schema["spans"].dataType
-    with_spans = hits.select("row", "doc.doc_id").join(spans, "row", "left")
-    without = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(ANY)).select(
-        "doc_id", F.lit(None).cast(none).alias("spans")
-    )
-    return (
-        with_spans.select("doc_id", "spans")
-        .unionByName(without)
-        .select("doc_id", F.coalesce("spans", F.array().cast(none)).alias("spans"))
+    none = F.array().cast(spans.schema["spans"].dataType)
+    return rows.select("row", "doc_id").join(spans, "row", "left").select(
+        "doc_id", F.coalesce("spans", none).alias("spans")
     )
 
 
@@ -205,7 +217,17 @@ def mask_secrets(
     others ``length_column`` gets the new length of the text in code points.
     """
     text = F.col(text_column)
-    hits, judged = _hits(docs, text_column, owner_column, repository_column)
+    hits = written(
+        docs.where(_has_candidate(text)).select(
+            F.monotonically_increasing_id().alias("row"),
+            F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+            text.alias("text"),
+            _holder(repository_column).alias("repository"),
+            _holder(owner_column).alias("owner"),
+        ),
+        "secret-hits",
+    )
+    judged = _judged(hits)
     values = (
         judged.where("live")
         .groupBy("row")
@@ -223,4 +245,4 @@ def mask_secrets(
         return F.when(F.col("live").isNull(), old).otherwise(new).alias(column)
 
     changed = hits.join(values, "row", "left").select(*map(value, docs.columns))
-    return docs.where(~F.coalesce(text, F.lit("")).rlike(ANY)).unionByName(changed)
+    return docs.where(~_has_candidate(text)).unionByName(changed)

@@ -92,9 +92,10 @@ apart AS (
         WHERE b.doc_id = p.doc_id AND b.kind < 3 AND b.start < p.stop AND b.stop > p.start)
 ),
 owners AS (
-    SELECT hash, count(DISTINCT coalesce(source, '')) < 5
-                 AND count(DISTINCT doc_id) < 100 AS live
-    FROM apart GROUP BY hash
+    SELECT hash, owners < 5 AND (owners < 3 OR repositories < 10 * owners) AS live
+    FROM (SELECT hash, count(DISTINCT coalesce(source, '')) AS owners,
+                 count(DISTINCT doc_id) AS repositories
+          FROM apart GROUP BY hash)
 ),
 spans AS (
     SELECT doc_id, kind, live,

@@ -1,8 +1,8 @@
 """WARC archives: written by the tasks that hold the pages, read back record by record.
 
 Writing.  Payloads are grouped by SHA-256 and length; only groups of two or more rows
-are joined back, so the page with the smallest id of each group becomes a response and
-the others revisit it.  Every task writes one archive, each record a gzip member of its
+are joined back, to the pages' ids first and then by these to the pages, so the page with
+the smallest id of each group becomes a response and the others revisit it.  Every task writes one archive, each record a gzip member of its
 own, into the shared folder.  A task writes under a name of its own attempt and renames
 at the end, so a lost or repeated task leaves no half archive; the list of archives is
 written as a table and names exactly the finished ones.
@@ -30,7 +30,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
-from pathlib import Path
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -220,8 +220,16 @@ def _archive_writer(folder: str) -> Callable:
     return write
 
 
-def _uri(path: str) -> str:
-    return path if re.match(r"[a-z][a-z0-9+.-]*:", path) else Path(path).absolute().as_uri()
+def _uri(spark: SparkSession, path: str) -> str:
+    """A path without a scheme lies in the default file system, as it does for Spark."""
+    if re.match(r"[a-z][a-z0-9+.-]*:", path):
+        return path
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    default = hadoop.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()).toString()
+    if not path.startswith("/"):
+        home = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).getWorkingDirectory()
+        path = f"{home.toUri().getPath()}/{path}"
+    return f"{'file://' if default.startswith('file:') else default.rstrip('/')}{quote(path)}"
 
 
 def write_archives(
@@ -249,17 +257,22 @@ def write_archives(
         .where("rows > 1")
     )
     later = F.coalesce(F.col("page_id") > F.col("first_id"), F.col("first_id").isNotNull())
-    marked = pages.join(
-        written(copies.select("digest", "size", "first_id"), "payload-copies"),
-        ["digest", "size"],
-        "left",
-    ).select(
-        "page_id",
-        "url",
-        "payload",
-        F.when(later, F.col("first_id")).alias("refers_to"),
+    # A common payload would be one key of a join with the pages; their ids are not.
+    revisits = written(
+        pages.select("page_id", "digest", "size")
+        .distinct()
+        .join(
+            written(copies.select("digest", "size", "first_id"), "payload-copies"),
+            ["digest", "size"],
+        )
+        .where(later)
+        .select(F.col("page_id").alias("id"), F.col("digest").alias("of"), F.col("first_id").alias("refers_to")),
+        "revisits",
     )
-    archives = marked.mapInArrow(_archive_writer(_uri(folder)), "path string, records long")
+    same = F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of"))
+    marked = pages.join(revisits, same, "left").select("page_id", "url", "payload", "refers_to")
+    folder = _uri(pages.sparkSession, folder)
+    archives = marked.mapInArrow(_archive_writer(folder), "path string, records long")
     return written(archives, "archives")
 
 

@@ -69,3 +69,23 @@ def test_carried_columns(spark):
 
 def test_block_size_is_a_parameter():
     assert exact_dedup.BLOCK == 4096
+
+
+def test_names_do_not_depend_on_the_layout(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abc") for _ in range(rng.randint(0, 30))) for _ in range(80)]
+    documents = [(i, rng.choice(texts)) for i in range(240)]
+    found = []
+    for parts in (1, 7):
+        docs = table(spark, documents).select("doc_id", "text").repartition(parts)
+        rows = identities(docs, 3).collect()
+        found.append({r.doc_id: (r.levels, r.name) for r in rows})
+    assert found[0] == found[1]
+    singles = {t: found[0][i] for i, t in documents if 0 < len(t) <= 3}
+    assert sorted(n for _, n in singles.values()) == sorted({n for _, n in singles.values()})
+
+
+def test_ranks_are_gapless_and_sorted(spark):
+    rows = spark.range(1000).selectExpr("1000 - id AS v", "id % 7 AS w").repartition(5)
+    found = {r.v: r.name for r in exact_dedup.ranked(rows, "v").collect()}
+    assert found == {v: v - 1 for v in range(1, 1001)}

@@ -1,6 +1,10 @@
 import re
 
+import duckdb
+import pytest
+
 from mailspark.llm.secret_scan import KINDS, MASK, WIDE_OWNERS, find_secrets, mask_secrets
+from mailspark.llm.sql import SECRETS
 from tests.llm.helpers import EDGE, LONG, empty, table
 
 BASE = {
@@ -100,3 +104,25 @@ def test_masking_keeps_rows_columns_and_clean_texts(spark):
     assert sorted(repr(r.text) for r in rows if r not in masked) == before
     assert len(masked) == 2 and all(r.n_chars == len(r.text) for r in masked)
     assert not any("abcdefghijkl" in r.text or "24be64439" in r.text for r in masked)
+
+
+@pytest.mark.parametrize("holders, live", [
+    ([("a", 150)], True),  # one owner, however many repositories
+    ([("a", 60), ("b", 60)], True),
+    ([("a", 9), ("b", 9), ("c", 9)], True),
+    ([("a", 10), ("b", 10), ("c", 10)], False),  # some owners, copied throughout
+    ([("a", 1), ("b", 1), ("c", 28)], False),
+    ([("a", 1), ("b", 1), ("c", 1), ("d", 1), ("e", 1)], False),
+])
+def test_verdict_by_owners_and_repositories_is_that_of_the_sql(spark, holders, live):
+    rows = [(owner, f"some {KEY} here, token={KEY[::-1]}") for owner, n in holders for _ in range(n)]
+    docs = spark.createDataFrame([(i, t, o) for i, (o, t) in enumerate(rows)], "doc_id long, text string, source string")
+    found = {r.doc_id: [(s.kind, s.start, s.stop, s.live) for s in r.spans] for r in find_secrets(docs).collect()}
+    expected = [(3, 5, 25, True), (0, 32, 58, True)] if live else [(0, 32, 58, False)]
+    assert all(spans == expected for spans in found.values())
+    duck = duckdb.connect()
+    duck.register("documents", docs.toPandas())
+    for row in duck.sql(SECRETS).fetchdf().itertuples():
+        spans = found[row.doc_id]
+        names = ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b, _ in spans)
+        assert (row.spans, row.n_live) == (names, sum(x[3] for x in spans))

@@ -109,3 +109,22 @@ def test_broken_records_are_refused(data, what):
 def test_cut_archives_are_refused():
     with pytest.raises(BrokenArchive):
         list(read_records(io.BytesIO(archive()[:-20])))
+
+
+def test_paths_without_a_scheme_lie_in_the_default_file_system(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "hdfs://names:8020")
+        assert warc._uri(spark, "/shared/x") == "hdfs://names:8020/shared/x"
+        assert warc._uri(spark, "file:///a/b") == "file:///a/b"
+        conf.set("fs.defaultFS", "file:///")
+        assert warc._uri(spark, "/shared/x") == "file:///shared/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
+def test_archives_at_a_path_without_a_scheme(spark, tmp_path):
+    archives = write_archives(pages(spark), str(tmp_path / "plain"))
+    assert got(read_archives(archives)) == brute(EDGE)
+    assert all(r.path.startswith(f"file://{tmp_path}") for r in archives.collect())
