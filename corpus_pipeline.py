@@ -4,6 +4,9 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is w
 Parquet and read again as the next stage's docs.  All but the last return the columns of
 documents.
 
+The first stage writes the language that it finds into ``lang``, so the column is filled and
+right for what follows, and rejects documents in which it finds none.
+
 Rows: a document without a letter is rejected by the first stage, so null and empty texts
 go; null ids count as larger than any other where one document of a group stays; rows
 that repeat an id are documents of their own unless they repeat the text too, then one
@@ -25,8 +28,6 @@ from mailspark.llm.secret_scan import mask_secrets
 from mailspark.llm.simhash import near_duplicates
 from mailspark.sources.scratch import written
 
-#: Least share of letters in the language of a document that isn't mixed; mixed ones stay.
-LEAST_SCORE = 0.5
 LAST = (1 << 63) - 1
 
 
@@ -60,12 +61,22 @@ def _kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter, in one language or several."""
+    """Documents with a letter, in one language or several; ``lang`` is the language found.
+
+    A document that is ``und`` goes.  If no label teaches anything, no language can be told:
+    then all documents with a letter stay, with the label they have.
+    """
     model = language_model(docs)
     if not model.langs:
-        # Without labels nothing is learned, and no language can be told.
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return docs.where(language_column(model)(F.col("text"))["lang_pred"] != UNKNOWN)
+    # Else the filter would be moved below the projection and each text be judged twice.
+    judge = language_column(model).asNondeterministic()
+    judged = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+        judge(F.col("text"))["lang_pred"].alias("found"),
+    )
+    names = {c: F.col("found") if c == "lang" else F.col(f"doc.`{c}`") for c in docs.columns}
+    return judged.where(F.col("found") != UNKNOWN).select(*(v.alias(c) for c, v in names.items()))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
