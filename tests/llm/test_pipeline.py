@@ -33,12 +33,9 @@ def test_stages_against_brute_force(spark, tmp_path):
     model = language_model(docs)
     spoken = stage(spark, "language", docs, tmp_path)
     rows = docs.collect()
-    expected = {
-        r.doc_id
-        for r, (lang, score, _) in zip(rows, verdicts(model, [r.text or "" for r in rows]))
-        if lang != UNKNOWN and score >= corpus_pipeline.LEAST_SCORE
-    }
-    assert {r.doc_id for r in spoken.collect()} == expected
+    found = zip(rows, verdicts(model, [r.text or "" for r in rows]))
+    expected = {r.doc_id: lang for r, (lang, _, _) in found if lang != UNKNOWN}
+    assert {r.doc_id: r.lang for r in spoken.collect()} == expected
     single = stage(spark, "exact_dedup", spoken, tmp_path)
     rows = spoken.collect()
     kept = {r[0] for r in brute_copies([(r.doc_id, r.text) for r in rows]) if r[3]}
@@ -57,7 +54,6 @@ def test_stages_against_brute_force(spark, tmp_path):
             assert r == before[r.doc_id]
     pieces = stage(spark, "packing", masked, tmp_path).collect()
     known = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    known.encode_special_tokens = True
     by_doc = defaultdict(list)
     for p in pieces:
         by_doc[p.doc_id].append(p)
@@ -104,6 +100,18 @@ def test_rows_that_repeat_the_id_but_not_the_text(spark, tmp_path):
     ]
 
 
+def test_the_language_found_replaces_the_label(spark, tmp_path):
+    words = {"aa": "abcde fabec", "bb": "ghijk lkjig"}
+    rows = [(i, f"{w} " * 20, k) for i in range(40) for k, w in words.items()]
+    odd = [(100, "ghijk lkjig " * 9, "aa"), (101, "abcde " * 9, None), (102, "12:30 -- 7", "bb"), (103, "", "aa")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    found = stage(spark, "language", docs, tmp_path)
+    kept = {r.doc_id: r.lang for r in found.where("doc_id >= 100").collect()}
+    assert kept == {100: "bb", 101: "aa"} and found.count() == len(rows) + 2
+    text = STAGES["language"](spark, docs, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ArrowEvalPython") == 1
+
+
 def test_mixed_texts_stay_and_so_do_all_without_labels(spark, tmp_path):
     words = {"aa": "abcde", "bb": "fghij", "cc": "klmno"}
     rows = [(i, " ".join([w] * 30), k) for i in range(60) for k, w in words.items()]
@@ -112,8 +120,8 @@ def test_mixed_texts_stay_and_so_do_all_without_labels(spark, tmp_path):
         [*rows, (100, mixed, None), (101, "12 34", None)], "doc_id long, text string, lang string"
     )
     score = verdicts(language_model(docs), [mixed])[0][1]
-    assert 0 < score < corpus_pipeline.LEAST_SCORE
-    kept = {r.doc_id for r in stage(spark, "language", docs, tmp_path).collect()}
-    assert 100 in kept and 101 not in kept
+    assert 0 < score < 0.5
+    kept = {r.doc_id: r.lang for r in stage(spark, "language", docs, tmp_path).collect()}
+    assert kept[100] == "aa" and 101 not in kept
     bare = docs.withColumn("lang", F.lit(None).cast("string"))
     assert STAGES["language"](spark, bare, FOLDER).count() == len(rows) + 1
