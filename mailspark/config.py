@@ -30,6 +30,8 @@ KEYWORDS = (
 NB_ALPHAS = (0.1, 0.5, 1.0)
 SVM_COSTS = (0.1, 1.0, 3.0, 10.0)
 LR_COSTS = (0.1, 1.0, 10.0)
+LR_SOLVERS = ("lbfgs", "liblinear")
+LR_ITERATIONS = 1000
 FOREST_TREES = (100, 200, 300)
 FOREST_DEPTHS = (None, 10, 20)
 FOREST_MIN_SPLIT = (2, 5)

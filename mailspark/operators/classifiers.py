@@ -1,22 +1,15 @@
-"""MLlib classifiers and their parameter grids.
+"""Parameter grids of the classifiers, and what a point of a grid stands for.
 
-A grid is a list of dictionaries, and ``estimator`` maps one to an MLlib
-estimator.  The keys are those that saved ``best_params`` show.
+A grid is a list of dictionaries, whose keys are those that saved ``best_params`` show.
+``linear_point`` maps one to a fit of ``operators.linear``; those of tree models say how
+``operators.forest`` and ``operators.boosting`` grow.
 """
 
 from __future__ import annotations
 
-import warnings
+import math
 from itertools import product
 
-from pyspark.ml.base import Estimator
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    RandomForestClassifier,
-)
-
 from mailspark.config import (
     BOOST_DEPTHS,
     BOOST_FEATURE_SHARES,
@@ -28,15 +21,16 @@ from mailspark.config import (
     FOREST_MIN_SPLIT,
     FOREST_TREES,
     LR_COSTS,
-    SEED,
+    LR_ITERATIONS,
+    LR_SOLVERS,
     SVM_COSTS,
 )
+from mailspark.operators import boosting
+from mailspark.operators.forest import NO_LIMIT, Cut
+from mailspark.operators.linear import LOGISTIC, SQUARED_HINGE, Point
 
-#: MLlib's own limit on the depth of a tree, used where depth is open.
-DEEPEST = 30
-SVM_ITERATIONS = 1000
-LR_ITERATIONS = 1000
-TOLERANCE = 1e-4
+#: The scale at which the penalty on an intercept no longer shows in a fit.
+FREE_INTERCEPT = 100.0
 
 
 def grid_of(**axes) -> list[dict]:
@@ -45,7 +39,7 @@ def grid_of(**axes) -> list[dict]:
 
 GRIDS = {
     "svm": grid_of(clf__C=SVM_COSTS),
-    "lr": grid_of(clf__C=LR_COSTS),
+    "lr": grid_of(clf__C=LR_COSTS, clf__max_iter=(LR_ITERATIONS,), clf__solver=LR_SOLVERS),
     "rf": grid_of(
         clf__n_estimators=FOREST_TREES,
         clf__max_depth=FOREST_DEPTHS,
@@ -61,58 +55,39 @@ GRIDS = {
     ),
 }
 LINEAR = ("svm", "lr")
+TREES = ("rf", "xgb")
 
 
-def estimator(name: str, params: dict, rows: int) -> Estimator:
-    """The estimator for one grid point; ``rows`` turns a cost into a penalty.
-
-    A forest whose depth is open grows to MLlib's limit of ``DEEPEST`` levels.
-    """
-    columns = {"featuresCol": "features", "labelCol": "label"}
+def linear_point(name: str, params: dict) -> Point:
+    """The fit a grid point stands for; one solver of logistic regression penalises the
+    intercept like any weight, the other leaves it free."""
     if name == "svm":
-        return LinearSVC(
-            regParam=1.0 / (params["clf__C"] * rows),
-            standardization=False,
-            maxIter=SVM_ITERATIONS,
-            tol=TOLERANCE,
-            **columns,
-        )
+        return Point(SQUARED_HINGE, params["clf__C"])
     if name == "lr":
-        return LogisticRegression(
-            regParam=1.0 / (params["clf__C"] * rows),
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=LR_ITERATIONS,
-            tol=TOLERANCE,
-            **columns,
-        )
-    if name == "rf":
-        return RandomForestClassifier(
-            numTrees=params["clf__n_estimators"],
-            maxDepth=params["clf__max_depth"] or DEEPEST,
-            minInstancesPerNode=max(1, params["clf__min_samples_split"] // 2),
-            featureSubsetStrategy=params["clf__max_features"],
-            seed=SEED,
-            **columns,
-        )
-    if name == "xgb":
-        return GBTClassifier(
-            maxIter=params["clf__n_estimators"],
-            maxDepth=params["clf__max_depth"],
-            stepSize=params["clf__learning_rate"],
-            subsamplingRate=params["clf__subsample"],
-            featureSubsetStrategy=str(params["clf__colsample_bytree"]),
-            seed=SEED,
-            **columns,
-        )
-    raise ValueError(f"unknown model name: {name}")
-
-
-def warn_unconverged(name: str, params: dict, model) -> None:
-    """Say so when a linear solver used up its iterations."""
-    most = {"svm": SVM_ITERATIONS, "lr": LR_ITERATIONS}.get(name)
-    if most is None:
-        return
-    used = model.summary().totalIterations if name == "svm" else model.summary.totalIterations
-    if used >= most:
-        warnings.warn(f"{name} {params} stopped after {used} iterations", stacklevel=2)
+        penalised = params.get("clf__solver") == "liblinear"
+        return Point(LOGISTIC, params["clf__C"], 1.0 if penalised else FREE_INTERCEPT)
+    raise ValueError(f"no linear model: {name}")
+
+
+def drawn_share(max_features: str, terms: int) -> float:
+    """The share of the terms that a node of a forest draws."""
+    if terms <= 1:
+        return 1.0
+    wanted = {"sqrt": math.sqrt, "log2": math.log2}[max_features](terms)
+    return min(1.0, max(1.0, math.floor(wanted)) / terms)
+
+
+def forest_cut(params: dict) -> Cut:
+    depth = params["clf__max_depth"]
+    return Cut(NO_LIMIT if depth is None else depth, params["clf__min_samples_split"])
+
+
+def boosting_run(params: dict, view: str, fold: int | None) -> boosting.Run:
+    return boosting.Run(
+        view,
+        fold,
+        params["clf__max_depth"],
+        params["clf__learning_rate"],
+        params["clf__subsample"],
+        params["clf__colsample_bytree"],
+    )

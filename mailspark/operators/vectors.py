@@ -1,9 +1,7 @@
-"""Sparse feature vectors for MLlib, built from the long tables."""
+"""Numbers of terms, and sparse feature vectors for MLlib, built from the long tables."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,11 +12,6 @@ from mailspark.operators.features import tfidf
 from mailspark.sources.scratch import written
 
 INDEX_BUCKETS = 4096
-# Partitions of the solvers' table follow the number of mails alone, so that a fit
-# doesn't depend on cores, files or bytes: few mails make short tasks, so there are 2
-# parts at least and 64 at most of few mails, and then as many as full parts need.
-FEW_MAILS_PER_PART = 250
-MAILS_PER_PART = 20_000
 LARGEST_INDEX = (1 << 31) - 1
 
 
@@ -72,20 +65,6 @@ def feature_vectors(
     return written(table, "vectors", schema)
 
 
-def packed(vectors: DataFrame) -> DataFrame:
-    """The vectors dealt by a hash of their id, each part in order of id.
-
-    MLlib draws its samples by partition and row, so the same mails give the same
-    model however they were stored.
-    """
-    return vectors.repartition(solver_parts(vectors.count()), "id").sortWithinPartitions("id")
-
-
-def solver_parts(mails: int) -> int:
-    few = min(64, math.ceil(mails / FEW_MAILS_PER_PART))
-    return max(2, few, math.ceil(mails / MAILS_PER_PART))
-
-
 def checked_size(size: int) -> int:
     """The size of a vocabulary, which MLlib's vectors must be able to index."""
     if size > LARGEST_INDEX:

@@ -3,29 +3,31 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.base import Model
-from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailspark.config import HAM, SPAM, FeatureConfig
 from mailspark.functions.clean import clean_text
 from mailspark.functions.terms import add_terms, count_terms
+from mailspark.operators.classifiers import TREES
 from mailspark.operators.features import linear_sums
 from mailspark.operators.naive_bayes import SCORE_DIGITS, spam_probability
-from mailspark.operators.vectors import feature_vectors
+from mailspark.operators.trees import tree_sums
+from mailspark.sources.publish import children_of, delete, exists, publish_text, published_text
 
-TREE_MODELS = {"rf": RandomForestClassificationModel, "xgb": GBTClassificationModel}
 PROBABILITY, DECISION = "probability", "decision"
 
 
 @dataclass(frozen=True)
 class MailModel:
     """``table`` has token and idf, with ``weight`` for a linear model or ``index``
-    for a tree model (whose trees are in ``trees``)."""
+    for a tree model (whose nodes are in ``trees``).  ``gap`` is the largest relative
+    duality gap of the fits that a linear model was chosen from, ``losses`` are the mean
+    losses of boosted trees before each round and after the last."""
 
     name: str
     config: FeatureConfig
@@ -34,7 +36,9 @@ class MailModel:
     table: DataFrame
     intercept: float = 0.0
     terms: int = 0
-    trees: Model | None = field(default=None, compare=False)
+    gap: float | None = None
+    losses: tuple[float, ...] | None = None
+    trees: DataFrame | None = field(default=None, compare=False)
 
     @property
     def score_type(self) -> str:
@@ -69,12 +73,18 @@ class MailModel:
         )
 
     def _score_by_trees(self, docs: DataFrame) -> DataFrame:
-        kept = [c for c in docs.columns if c != "terms"]
-        vectors = feature_vectors(docs, self.table, self.terms, self.config)
-        return self.trees.transform(vectors).select(
-            *kept,
-            F.round(vector_to_array("probability")[1], SCORE_DIGITS).alias("score"),
-            F.col("prediction").cast("int").alias("prediction"),
+        """A forest's mean vote, or the probability of boosted trees' summed margin."""
+        sums = tree_sums(docs, self.table, self.trees, self.config)
+        total = F.round("tree_sum", SCORE_DIGITS)
+        if self.name == "rf":
+            score = F.round(total / self.params["clf__n_estimators"], SCORE_DIGITS)
+            is_spam = score > 0.5
+        else:
+            score, is_spam = spam_probability(total), total > 0
+        return (
+            sums.withColumn("score", score)
+            .withColumn("prediction", F.when(is_spam, SPAM).otherwise(HAM))
+            .drop("tree_sum")
         )
 
     def score(self, mails: DataFrame, keep_text: bool = True) -> DataFrame:
@@ -90,12 +100,23 @@ class MailModel:
         return mails.join(scored.select("id", *news), "id")
 
 
-def save_model(model: MailModel, path: str) -> None:
-    """Tables as parquet, trees in MLlib's own format, settings as one line of JSON."""
+POINTER, KEPT_VERSIONS = "CURRENT", 2
+
+
+def save_model(model: MailModel, path: str) -> str:
+    """Save a new version of a model and make it the current one; returns its name.
+
+    A version is a folder of its own: tables as parquet, settings as one line of JSON.
+    When it is complete, the file that names the current version is replaced by a rename,
+    so whoever loads the model meanwhile gets the old version or the new one as a whole.
+    The ``KEPT_VERSIONS`` last versions stay for those who still read them.
+    """
     spark = model.table.sparkSession
-    model.table.write.mode("overwrite").parquet(f"{path}/table")
+    name = f"{time.time_ns():020}-{uuid.uuid4().hex[:8]}"
+    folder = f"{path}/versions/{name}"
+    model.table.write.parquet(f"{folder}/table")
     if model.trees is not None:
-        model.trees.write().overwrite().save(f"{path}/trees")
+        model.trees.write.parquet(f"{folder}/trees")
     settings = {
         "name": model.name,
         "config": asdict(model.config),
@@ -103,20 +124,51 @@ def save_model(model: MailModel, path: str) -> None:
         "cv_f1": model.cv_f1,
         "intercept": model.intercept,
         "terms": model.terms,
+        "gap": model.gap,
+        "losses": model.losses,
     }
-    line = spark.createDataFrame([(json.dumps(settings),)], "value string")
-    line.coalesce(1).write.mode("overwrite").text(f"{path}/settings")
-
-
-def load_model(spark: SparkSession, path: str) -> MailModel:
-    settings = json.loads(spark.read.text(f"{path}/settings").first()["value"])
+    publish_text(spark, f"{folder}/settings", json.dumps(settings))
+    publish_text(spark, f"{path}/{POINTER}", name)
+    complete = [n for _, n in children_of(spark, f"{path}/versions") if exists(spark, f"{path}/versions/{n}/settings")]
+    for old in sorted(complete)[:-KEPT_VERSIONS]:
+        if old != name:
+            delete(spark, f"{path}/versions/{old}")
+    return name
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    return published_text(spark, f"{path}/{POINTER}")
+
+
+def load_model(spark: SparkSession, path: str, version: str | None = None) -> MailModel:
+    """The current version of a saved model, or the one named."""
+    version = version or current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no model at {path}")
+    folder = f"{path}/versions/{version}"
+    settings = json.loads(published_text(spark, f"{folder}/settings"))
     config = settings.pop("config")
     config["stop_words"] = tuple(config["stop_words"])
-    name = settings["name"]
-    trees = TREE_MODELS[name].load(f"{path}/trees") if name in TREE_MODELS else None
+    if settings.get("losses") is not None:
+        settings["losses"] = tuple(settings["losses"])
+    trees = spark.read.parquet(f"{folder}/trees") if settings["name"] in TREES else None
     return MailModel(
         config=FeatureConfig(**config),
-        table=spark.read.parquet(f"{path}/table"),
+        table=spark.read.parquet(f"{folder}/table"),
         trees=trees,
         **settings,
     )
+
+
+class LatestModel:
+    """Scores mails with the version of a saved model that is current when it is called."""
+
+    def __init__(self, path: str):
+        self.path, self.version, self.model = path, None, None
+
+    def __call__(self, mails: DataFrame) -> DataFrame:
+        spark = mails.sparkSession
+        version = current_version(spark, self.path)
+        if version != self.version or self.model is None:
+            self.model, self.version = load_model(spark, self.path, version), version
+        return self.model.score(mails, keep_text=False)

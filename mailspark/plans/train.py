@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, replace
+from functools import partial
 
-import numpy as np
-import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.config import EXPERIMENTS, FOLDS, NB_ALPHAS, WORD_1_2, FeatureConfig
-from mailspark.operators import naive_bayes
+from mailspark.config import EXPERIMENTS, FOLDS, NB_ALPHAS, SPAM, WORD_1_2, FeatureConfig
+from mailspark.operators import boosting, forest, linear, naive_bayes
 from mailspark.operators.baselines import keyword_predictions, majority_predictions
-from mailspark.operators.classifiers import GRIDS, LINEAR, estimator, warn_unconverged
-from mailspark.operators.features import prepared_terms, vocabulary
+from mailspark.operators.classifiers import (
+    GRIDS,
+    LINEAR,
+    boosting_run,
+    drawn_share,
+    forest_cut,
+    linear_point,
+)
+from mailspark.operators.features import prepared_terms
 from mailspark.operators.leaderboard import best_model, leaderboard
-from mailspark.operators.metrics import confusion, f1_score, metric_rows
+from mailspark.operators.metrics import f1_score, metric_rows
 from mailspark.operators.split import part_ends, with_parts
-from mailspark.operators.vectors import checked_size, feature_vectors, packed, with_index
+from mailspark.operators.trees import NODE_COLUMNS, binned_vectors
+from mailspark.plans.ledger import Ledger
 from mailspark.plans.model import MailModel, save_model
 from mailspark.sources.reports import save_table
 from mailspark.sources.scratch import written
 
 MODEL_ORDER = ("majority", "keyword", "nb", "svm", "rf", "lr", "xgb")
-PARALLEL_FITS = 4
 
 
 class TermTables:
@@ -51,69 +56,148 @@ def split_mails(mails: DataFrame) -> DataFrame:
     return with_parts(base, written(part_ends(base), "part-ends"))
 
 
-def _indexed_vocabulary(train: DataFrame, config: FeatureConfig) -> tuple[DataFrame, int]:
-    table = written(with_index(vocabulary(train, config)), "vocabulary")
-    return table, checked_size(table.count())
+@dataclass(frozen=True)
+class TrainVectors:
+    """Binned vectors of train mails in some views, and their vocabulary."""
 
+    vectors: DataFrame
+    vocab: DataFrame
+    terms: dict[str, int]
 
-def _in_parallel(work: Callable, items: Sequence, threads: int) -> list:
-    """Run jobs that are each distributed side by side, as they leave cores idle alone."""
-    with ThreadPool(max(1, min(threads, len(items)))) as pool:
-        return pool.map(inheritable_thread_target(work), items)
 
+def binned_train(docs: DataFrame, config: FeatureConfig, folds: int | None) -> TrainVectors:
+    """The vectors that trees grow on; those of the views without a fold if there are folds,
+    else of all train mails."""
+    train = _train_part(docs)
+    sizes = linear.view_sizes(train, folds)
+    views = [v for v in sizes if (v == naive_bayes.FINAL) != bool(folds)]
+    vocab = linear.view_vocabulary(train, config, sizes, folds)
+    terms = vocab.agg(*[F.count(f"{v}_idf").alias(v) for v in views]).first().asDict()
+    vectors = written(binned_vectors(train, vocab, views, config), "binned-vectors")
+    return TrainVectors(vectors, vocab, terms)
 
-def _search_classifier(
-    name: str, docs: DataFrame, config: FeatureConfig, grid: Sequence[dict], folds: int
+
+def _train_part(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("fold").isNotNull()).select("id", "label", "fold", "terms")
+
+
+def _search_forest(
+    docs: DataFrame, config: FeatureConfig, grid: Sequence[dict], folds: int
 ) -> tuple[dict, float]:
-    """The grid point with the best mean F1 over the folds (first wins ties), and that mean.
+    """The grid point with the best mean F1 over the folds, all from one growth."""
+    data = binned_train(docs, config, folds)
+    features = list(dict.fromkeys(point["clf__max_features"] for point in grid))
+    cuts = tuple(dict.fromkeys(forest_cut(point) for point in grid))
+    sizes = tuple(sorted({point["clf__n_estimators"] for point in grid}))
+    runs = tuple(
+        forest.Run(f"cv{k}", k, drawn_share(m, data.terms[f"cv{k}"]))
+        for m in features
+        for k in range(folds)
+    )
+    growth = forest.Growth(
+        runs, max(sizes), max(c.depth for c in cuts), min(c.least for c in cuts), cuts, sizes
+    )
+    is_spam, found = F.col("label") == SPAM, F.round("vote", naive_bayes.SCORE_DIGITS) > 0.5
+    counts = forest.grow(data.vectors, growth).votes.groupBy("run", "cut", "trees").agg(
+        F.count_if(is_spam & found).alias("tp"),
+        F.count_if(~is_spam & found).alias("fp"),
+        F.count_if(is_spam & ~found).alias("fn"),
+    )
+    f1 = counts.select("run", "cut", "trees", f1_score("tp", "fp", "fn").alias("f1"))
+    scores = {(r["run"], r["cut"], r["trees"]): r["f1"] for r in f1.collect()}  # one per point and fold
 
-    The features of a fold are fitted on its own training mails and shared by all
-    grid points.
-    """
-    train = docs.where(F.col("fold").isNotNull())
-    naive_bayes.check_folds(train.agg(F.max("fold")).first()[0], folds)
-
-    def fold_scores(fold: int) -> list[float]:
-        vocab, size = _indexed_vocabulary(train.where(F.col("fold") != fold), config)
-        vectors = packed(feature_vectors(train, vocab, size, config))
-        fitted = vectors.where(F.col("fold") != fold)
-        held_out = vectors.where(F.col("fold") == fold)
-        rows = fitted.count()
-
-        def held_out_f1(params: dict) -> float:
-            model = estimator(name, params, rows).fit(fitted)
-            warn_unconverged(name, params, model)
-            counts = confusion(model.transform(held_out).select("label", "prediction"))
-            return counts.select(f1_score("tp", "fp", "fn")).first()[0]
-
-        return _in_parallel(held_out_f1, grid, PARALLEL_FITS)
-
-    by_fold = _in_parallel(fold_scores, range(folds), folds)
-    means = [
-        round(sum(scores) / folds, naive_bayes.SCORE_DIGITS) for scores in zip(*by_fold)
+    def mean(point: dict) -> float:
+        first, cut = features.index(point["clf__max_features"]) * folds, cuts.index(forest_cut(point))
+        of_folds = [scores[first + k, cut, point["clf__n_estimators"]] for k in range(folds)]
+        return round(sum(of_folds) / folds, naive_bayes.SCORE_DIGITS)
+
+    return _best(grid, [mean(point) for point in grid])
+
+
+def _search_boosting(
+    docs: DataFrame, config: FeatureConfig, grid: Sequence[dict], folds: int
+) -> tuple[dict, float]:
+    """The grid point with the best mean F1 over the folds; all points advance together."""
+    data = binned_train(docs, config, folds)
+    runs = tuple(
+        dict.fromkeys(boosting_run(point, f"cv{k}", k) for point in grid for k in range(folds))
+    )
+    rounds = sorted({point["clf__n_estimators"] for point in grid})
+    boosted = boosting.boost(data.vectors, runs, rounds[-1], rounds)
+    means = {n: boosting.mean_f1(boosted, runs, n) for n in rounds}
+    scores = [
+        round(means[p["clf__n_estimators"]][boosting_run(p, "", None)], naive_bayes.SCORE_DIGITS)
+        for p in grid
     ]
-    best = max(range(len(grid)), key=lambda i: means[i])
-    return grid[best], means[best]
+    return _best(grid, scores)
+
+
+def _best(grid: Sequence[dict], scores: list[float]) -> tuple[dict, float]:
+    """The point with the highest score (first wins ties), and that score."""
+    best = max(range(len(grid)), key=lambda i: scores[i])
+    return grid[best], scores[best]
+
+
+SEARCHES = {"rf": _search_forest, "xgb": _search_boosting}
 
 
-def _fit_classifier(
+def _fit_trees(
     name: str, docs: DataFrame, config: FeatureConfig, params: dict, cv_f1: float | None
 ) -> MailModel:
-    train = docs.where(F.col("fold").isNotNull())
-    vocab, size = _indexed_vocabulary(train, config)
-    vectors = packed(feature_vectors(train, vocab, size, config))
-    model = estimator(name, params, vectors.count()).fit(vectors)
-    if name not in LINEAR:
-        return MailModel(name, config, params, cv_f1, vocab, terms=size, trees=model)
-    # MLlib hands the coefficients over on the driver; they go back out as a table.
-    coefficients = model.coefficients.toArray()
-    weights = docs.sparkSession.createDataFrame(
-        pa.table({"index": np.arange(size, dtype="int32"), "weight": coefficients})
+    """Trees at one grid point on all train mails."""
+    data = binned_train(docs, config, None)
+    view, rounds = naive_bayes.FINAL, params["clf__n_estimators"]
+    losses = None
+    if name == "rf":
+        cut = forest_cut(params)
+        share = drawn_share(params["clf__max_features"], data.terms[view])
+        growth = forest.Growth((forest.Run(view, None, share),), rounds, cut.depth, cut.least)
+        nodes = forest.grow(data.vectors, growth).nodes
+    else:
+        run = boosting_run(params, view, None)
+        boosted = boosting.boost(data.vectors, (run,), rounds)
+        losses = tuple(boosted.losses[0])
+        nodes = docs.sparkSession.createDataFrame(
+            boosted.tree_rows(0, rounds),
+            "tree int, node long, term long, edge int, absent_right boolean, value double",
+        )
+    vocab = data.vocab.where(F.col(f"{view}_idf").isNotNull())
+    return MailModel(
+        name,
+        config,
+        params,
+        cv_f1,
+        written(vocab.select("token", "index", F.col(f"{view}_idf").alias("idf")), "tree-terms"),
+        terms=data.terms[view],
+        trees=written(nodes.select(*NODE_COLUMNS), "trees"),
+        losses=losses,
     )
-    table = written(
-        vocab.join(weights, "index").select("token", "idf", "weight"), "linear-model"
+
+
+def _train_linear(
+    name: str, docs: DataFrame, config: FeatureConfig, grid: Sequence[dict], folds: int | None
+) -> MailModel:
+    """The best of a grid, all of whose points are fitted together on all views.
+
+    Without ``folds`` nothing is compared, and the first point is taken.
+    """
+    found = linear.search(docs, config, [linear_point(name, point) for point in grid], folds)
+    best, cv_f1 = 0, None
+    if folds:
+        train = docs.where(F.col("fold").isNotNull()).select("id", "label", "fold", "terms")
+        means = found.fold_f1(train)
+        best = max(range(len(grid)), key=lambda i: means[i])
+        cv_f1 = means[best]
+    return MailModel(
+        name,
+        config,
+        grid[best],
+        cv_f1,
+        written(found.model_table(best), "linear-model"),
+        found.intercepts[naive_bayes.FINAL, best],
+        found.terms,
+        gap=max(found.gaps.values()),
     )
-    return MailModel(name, config, params, cv_f1, table, float(model.intercept), size)
 
 
 def _train_naive_bayes(
@@ -150,12 +234,13 @@ def train_model(
     grid: Sequence[dict] | None = None,
     folds: int = FOLDS,
     terms: TermTables | None = None,
+    ledger: Ledger | None = None,
 ) -> MailModel:
     """Grid-search one model on mails with ``split`` and ``fold``, refit on all train mails.
 
     The linear SVM also picks the feature configuration with the strictly best
     cross-validated F1, and names it among its parameters.  ``terms`` are the mails'
-    term tables, where several models share them.
+    term tables, where several models share them.  What ``ledger`` has is not done again.
     """
     if name == "nb":
         grid = grid or [{"clf__alpha": a} for a in NB_ALPHAS]
@@ -167,29 +252,74 @@ def train_model(
     terms = terms or TermTables(parts.where(F.col("split") == "train"))
     best = None
     for config in configs:
-        docs = terms.of(config).where(F.col("split") == "train")
-        if name == "nb":
-            found = _train_naive_bayes(docs, config, grid, folds)
-            if best is None or found.cv_f1 > best[0]:
-                best = (found.cv_f1, found)
-            continue
-        params, cv_f1 = _search_classifier(name, docs, config, grid, folds)
-        if best is None or cv_f1 > best[0]:
-            best = (cv_f1, (docs, config, params))
-    if name == "nb":
-        return best[1]
-    docs, config, params = best[1]
+        found = _trained(name, parts, config, grid, folds, terms, ledger)
+        if best is None or found.cv_f1 > best.cv_f1:
+            best = found
+    if isinstance(best, _Searched):
+        return _refitted(name, best, terms, ledger)
     if name == "svm":
-        params = {"experiment": config.name, **params}
-    return _fit_classifier(name, docs, config, params, best[0])
+        return replace(best, params={"experiment": best.config.name, **best.params})
+    return best
+
+
+@dataclass(frozen=True)
+class _Searched:
+    """What a search found before the refit on all train mails."""
+
+    config: FeatureConfig
+    params: dict
+    cv_f1: float
+
+
+def _trained(
+    name: str, parts: DataFrame, config: FeatureConfig, grid: Sequence[dict], folds: int,
+    terms: TermTables, ledger: Ledger | None,
+) -> MailModel | _Searched:
+    """The model of one configuration, or for trees the point that a search found."""
+    spark = parts.sparkSession
+    key = ledger.key(name, config, grid, folds) if ledger else None
+    if name in SEARCHES:
+        found = ledger.search(spark, key) if ledger else None
+        if found is None:
+            found = SEARCHES[name](terms.of(config).where(F.col("split") == "train"), config, grid, folds)
+            if ledger:
+                ledger.put_search(spark, key, *found)
+        return _Searched(config, *found)
+    model = ledger.model(spark, key) if ledger else None
+    if model is None:
+        docs = terms.of(config).where(F.col("split") == "train")
+        train = _train_naive_bayes if name == "nb" else partial(_train_linear, name)
+        model = train(docs, config, grid, folds)
+        if ledger:
+            ledger.put_model(spark, key, model)
+    return model
+
+
+def _refitted(name: str, found: _Searched, terms: TermTables, ledger: Ledger | None) -> MailModel:
+    spark = terms.mails.sparkSession
+    key = ledger.key(name, found.config, [found.params], None) if ledger else None
+    model = ledger.model(spark, key) if ledger else None
+    if model is None:
+        docs = terms.of(found.config).where(F.col("split") == "train")
+        model = _fit_trees(name, docs, found.config, found.params, found.cv_f1)
+        if ledger:
+            ledger.put_model(spark, key, model)
+    return replace(model, cv_f1=found.cv_f1)
 
 
 def fit_model(
-    name: str, parts: DataFrame, params: dict, config: FeatureConfig = WORD_1_2
+    name: str,
+    parts: DataFrame,
+    params: dict,
+    config: FeatureConfig = WORD_1_2,
+    terms: TermTables | None = None,
 ) -> MailModel:
-    """Fit one MLlib model on all train mails at given parameters, without a search."""
-    docs = prepared_terms(parts.where(F.col("split") == "train"), config)
-    return _fit_classifier(name, docs, config, params, None)
+    """Fit one model on all train mails at given parameters, without a search."""
+    terms = terms or TermTables(parts.where(F.col("split") == "train"))
+    docs = terms.of(config).where(F.col("split") == "train")
+    if name in LINEAR:
+        return _train_linear(name, docs, config, [params], None)
+    return _fit_trees(name, docs, config, params, None)
 
 
 def with_summary(
@@ -200,16 +330,24 @@ def with_summary(
     ).withColumn("model_order", F.lit(MODEL_ORDER.index(name)))
 
 
-def model_row(model: MailModel, test: DataFrame, terms: TermTables | None = None) -> DataFrame:
-    """Unrounded metric row of a model on test mails, or on those of ``terms``."""
+def score_test(model: MailModel, test: DataFrame, terms: TermTables | None = None) -> DataFrame:
+    """Test mails, or those of ``terms``, under a model; written."""
     if terms is None:
         scored = model.score(test.select("id", "label", "text"), keep_text=False)
     else:
         docs = terms.of(model.config).where(F.col("split") == "test")
         scored = model.score_terms(docs.select("id", "label", "terms"))
-    scored = written(scored.withColumn("model", F.lit(model.name)), "scored")
-    rows = metric_rows(scored)
-    return with_summary(rows, model.name, model.cv_f1, model.best_params)
+    return written(scored.withColumn("model", F.lit(model.name)), "scored")
+
+
+def row_of_scores(model: MailModel, scored: DataFrame) -> DataFrame:
+    """Unrounded metric row of a model from its scored test mails."""
+    return with_summary(metric_rows(scored), model.name, model.cv_f1, model.best_params)
+
+
+def model_row(model: MailModel, test: DataFrame, terms: TermTables | None = None) -> DataFrame:
+    """Unrounded metric row of a model on test mails, or on those of ``terms``."""
+    return row_of_scores(model, score_test(model, test, terms))
 
 
 def baseline_rows(parts: DataFrame) -> DataFrame:
@@ -231,17 +369,21 @@ def train_all(
     out: str | None = None,
     grids: dict[str, Sequence[dict]] | None = None,
     configs: dict[str, Sequence[FeatureConfig]] | None = None,
+    ledger: str | None = None,
 ) -> tuple[DataFrame, dict[str, MailModel], str | None]:
     """Train and rank; with ``out``, save splits, models, the best model and the board.
 
+    With ``ledger``, a folder, what an earlier run of the same mails finished is taken up.
+
     Returns the leaderboard, the models and the name of the best one.
     """
     test = parts.where(F.col("split") == "test")
     rows = baseline_rows(parts)
     models, terms = {}, TermTables(parts)
+    done = Ledger.of(ledger, parts) if ledger else None
     for name in names:
         models[name] = train_model(
-            name, parts, (configs or {}).get(name), (grids or {}).get(name), terms=terms
+            name, parts, (configs or {}).get(name), (grids or {}).get(name), terms=terms, ledger=done
         )
         rows = rows.unionByName(model_row(models[name], test, terms))
     rows = written(rows, "metric-rows")
@@ -265,13 +407,15 @@ def run_experiments(
     names: Sequence[str] = ("nb", "svm"),
     configs: Sequence[FeatureConfig] = EXPERIMENTS,
     grids: dict[str, Sequence[dict]] | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
-    """One metric row per feature configuration and model."""
+    """One metric row per feature configuration and model; ``ledger`` as for ``train_all``."""
     test, terms = parts.where(F.col("split") == "test"), TermTables(parts)
+    done = Ledger.of(ledger, parts) if ledger else None
     rows = None
     for config in configs:
         for name in names:
-            model = train_model(name, parts, (config,), (grids or {}).get(name), terms=terms)
+            model = train_model(name, parts, (config,), (grids or {}).get(name), terms=terms, ledger=done)
             row = model_row(model, test, terms).withColumn("experiment", F.lit(config.name))
             rows = row if rows is None else rows.unionByName(row)
     return rows.drop("model_order")

@@ -18,9 +18,9 @@ from mailspark.config import (
 from mailspark.functions import clean
 from mailspark.functions.mail import compose_text, decode_text, html_to_text, parse_mails
 from mailspark.functions.terms import term_documents, without_stop_words, word_tokens
-from mailspark.operators import naive_bayes
+from mailspark.operators import boosting, forest, naive_bayes
 from mailspark.operators.baselines import keyword_predictions, majority_predictions
-from mailspark.operators.classifiers import GRIDS
+from mailspark.operators.classifiers import GRIDS, linear_point
 from mailspark.operators.compare import model_comparison, vote_summary
 from mailspark.operators.dedup import drop_repeated_texts
 from mailspark.operators.errors import error_analysis
@@ -40,6 +40,7 @@ from mailspark.operators.leaderboard import (
     leaderboard_display,
     row_of,
 )
+from mailspark.operators.linear import TOLERANCE
 from mailspark.operators.metrics import (
     add_rates,
     classification_report,
@@ -59,6 +60,7 @@ from mailspark.operators.split import (
     split_counts,
     split_label_counts,
 )
+from mailspark.operators.trees import ROOT
 from mailspark.plans import train
 from mailspark.plans.model import DECISION, MailModel, load_model, save_model
 from mailspark.sources.mails import first_mails, labelled_frame, load_mails
@@ -638,21 +640,19 @@ def streamed_mail_files(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("text_md5", "prediction", "predicted_name")
 
 
-# --- MLlib models -----------------------------------------------------------
+# --- searched models ----------------------------------------------------------
 
 
-def facts_of_scores(model: MailModel, test: DataFrame, **more: bool) -> DataFrame:
+def facts_of_scores(model: MailModel, scored: DataFrame, **more: bool) -> DataFrame:
     """Per test mail: whether its score is in range and agrees with the prediction, and
     whether the metric row follows from the predictions; ``more`` adds facts of the model.
     """
-    scored = model.score(test.select("id", "label", "text"), keep_text=False)
-    scored = written(scored, "scored")
     score, is_spam = F.col("score"), F.col("prediction") == 1
     if model.score_type == DECISION:
         in_range, agrees = ~F.isnan(score) & (F.abs(score) < 1e9), is_spam == (score > 0)
     else:
         in_range, agrees = score.between(0, 1), is_spam == (score > 0.5)
-    row = train.model_row(model, test).first()
+    row = train.row_of_scores(model, scored).first()
     tp, wrong, right, n = scored.agg(
         F.count_if((F.col("label") == 1) & is_spam),
         F.count_if(F.col("label") != F.col("prediction")),
@@ -676,46 +676,87 @@ def searched(name: str) -> Query:
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         parts = train.split_mails(labelled_documents(spark, sf))
-        model = train.train_model(name, parts)
-        facts = least_loss(model, parts) if name == "lr" else {}
+        terms = train.TermTables(parts)
+        model = train.train_model(name, parts, terms=terms)
         in_grid = {k: v for k, v in model.params.items() if k != "experiment"} in GRIDS[name]
-        test = parts.where(F.col("split") == "test")
-        return facts_of_scores(model, test, chosen_from_grid=in_grid, **facts)
+        scored = train.score_test(model, parts.where(F.col("split") == "test"), terms)
+        return facts_of_scores(model, scored, chosen_from_grid=in_grid, **least_loss(model, terms))
 
     return query
 
 
-#: How far from zero the mean gradient of a fitted logistic regression may be.
+#: How far from zero the mean gradient of a fitted linear model may be.
 GRADIENT = 1e-3
 
 
-def least_loss(model: MailModel, parts: DataFrame) -> dict[str, bool]:
-    """Whether the gradient of a logistic regression's loss is zero where it was fitted."""
-    docs = prepared_terms(parts.where(F.col("split") == "train"), model.config)
-    residual = model.score_terms(docs).select("id", (F.col("score") - F.col("label")).alias("r"))
-    residual = written(residual, "residuals")
-    n = residual.count()
+def least_loss(model: MailModel, terms: train.TermTables) -> dict[str, bool]:
+    """Whether the gradient of a linear model's objective is zero where it was fitted."""
+    docs = terms.of(model.config).where(F.col("split") == "train")
+    point = linear_point(model.name, {k: v for k, v in model.params.items() if k != "experiment"})
+    if model.score_type == DECISION:
+        sign = 2 * F.col("label") - 1
+        slope = -2 * sign * F.greatest(F.lit(0.0), 1 - sign * F.col("score"))
+    else:
+        slope = F.col("score") - F.col("label")
+    residual = written(model.score_terms(docs).select("id", slope.alias("r")), "residuals")
+    n, total = residual.agg(F.count("*"), F.sum("r")).first()
     cells = tfidf(docs.select("id", "terms"), model.table, model.config, ("weight",))
     cells = cells.select("id", "token", F.col("weight").alias("x"))
     sums = cells.join(residual, "id").groupBy("token").agg(F.sum(F.col("x") * F.col("r")).alias("s"))
-    gradient = F.abs(F.col("s") + F.col("weight") / model.params["clf__C"]) / n
+    gradient = F.abs(F.col("s") + F.col("weight") / point.cost) / n
     steepest = sums.join(model.table, "token").agg(F.max(gradient)).first()[0]
-    mean = residual.agg(F.abs(F.avg("r"))).first()[0]
-    return {"residuals_cancel": mean < GRADIENT, "gradient_vanishes": steepest < GRADIENT}
+    by_intercept = total + model.intercept / point.intercept_scale**2 / point.cost
+    return {
+        "residuals_cancel": abs(by_intercept) / n < GRADIENT,
+        "gradient_vanishes": steepest < GRADIENT,
+        "gap_closed": model.gap <= TOLERANCE,
+    }
 
 
 def fitted(name: str, params: dict) -> Query:
-    """A tree model fitted at one point of its grid, without a search."""
+    """A tree model fitted at one point of its grid, with facts that a constant would fail."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         parts = train.split_mails(labelled_documents(spark, sf))
-        model = train.fit_model(name, parts, params)
-        test = parts.where(F.col("split") == "test")
-        return facts_of_scores(model, test, point_of_grid=params in GRIDS[name])
+        terms = train.TermTables(parts)
+        model = train.fit_model(name, parts, params, terms=terms)
+        facts = {"point_of_grid": params in GRIDS[name]}
+        if name == "rf":
+            facts["beats_constant"] = beats_constant(model, terms)
+        else:
+            facts["loss_falls"] = all(b < a for a, b in zip(model.losses, model.losses[1:]))
+            facts["loss_is_halved"] = model.losses[-1] < model.losses[0] / 2
+        scored = train.score_test(model, parts.where(F.col("split") == "test"), terms)
+        return facts_of_scores(model, scored, **facts)
 
     return query
 
 
+def beats_constant(model: MailModel, terms: train.TermTables) -> bool:
+    """Whether the squared error over the train mails is well below that of their mean label."""
+    docs = terms.of(model.config).where(F.col("split") == "train").select("id", "label", "terms")
+    off = F.col("score") - F.col("label")
+    error, share = model.score_terms(docs).agg(F.avg(off * off), F.avg("label")).first()
+    return error < 0.9 * share * (1 - share)
+
+
+def forest_first_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The first split of a tree that draws nothing: of all mails and all terms the best."""
+    data = train.binned_train(train_terms(spark, sf, WORD_1_2), WORD_1_2, None)
+    growth = forest.Growth((forest.Run(naive_bayes.FINAL, None, 1.0),), 1, depth=1, bootstrap=False)
+    root = forest.grow(data.vectors, growth).nodes.where(F.col("node") == ROOT)
+    return rounded(root.select("mails", F.col("value").alias("spam_share"), "gain"))
+
+
+def boosting_first_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The first split of boosted trees that draw nothing, and the loss before it."""
+    data = train.binned_train(train_terms(spark, sf, WORD_1_2), WORD_1_2, None)
+    run = boosting.Run(naive_bayes.FINAL, None, 1, 0.3)
+    boosted = boosting.boost(data.vectors, (run,), 1)
+    row = [(boosted.gains[0][0], boosted.losses[0][0], boosted.losses[0][1] < boosted.losses[0][0])]
+    return rounded(spark.createDataFrame(row, "gain double, first_loss double, loss_falls boolean"))
+
+
 def nb_config_choice(spark: SparkSession, sf: str) -> DataFrame:
     """The feature configuration and smoothing value that Naive Bayes picks."""
     parts = train.split_mails(labelled_documents(spark, sf))
@@ -861,11 +902,13 @@ QUERIES: dict[str, Query] = {
     "streamed_keyword_scores": streamed_keyword_scores,
     "streamed_nb_scores": streamed_nb_scores,
     "streamed_mail_files": streamed_mail_files,
-    # MLlib models
+    # searched models
     "logistic_regression": searched("lr"),
     "linear_svm": searched("svm"),
     "random_forest": fitted("rf", FOREST_POINT),
     "gradient_boosted_trees": fitted("xgb", BOOST_POINT),
+    "forest_first_split": forest_first_split,
+    "boosting_first_split": boosting_first_split,
     "experiment_grid": experiment_grid,
     "nb_config_choice": nb_config_choice,
 }

@@ -155,12 +155,29 @@ def compared_ctes() -> str:
 MODEL_LABEL = sql.display("model")
 
 
+LINEAR_FACTS = ("chosen_from_grid", "residuals_cancel", "gradient_vanishes", "gap_closed")
+
+
 def model_facts(*more: str) -> str:
     """Per test mail what must hold of its score, whatever the solver finds."""
     facts = ", ".join(f"true AS {f}" for f in ("in_range", "agrees", "metrics_follow", *more))
     return PARTS + f"SELECT id, label, {facts} FROM parts WHERE split = 'test'"
 
 
+def first_split_sql(best: str) -> str:
+    """The best split of all train mails, over the bins of all terms: ``up`` has those of a
+    bin and above, ``in`` those of the term in any bin."""
+    return sql.word_base(
+        sql.vocab(),
+        """w AS (SELECT id, token, (1 + ln(tf)) * idf AS w FROM tf JOIN vocab USING (token) WHERE split = 'train'),
+x AS (SELECT id, token, floor(ln(w / sqrt(sum(w * w) OVER (PARTITION BY id))) / ln(1.25::DOUBLE))::INTEGER AS bin FROM w),
+bins AS (SELECT token, bin, count(*)::DOUBLE AS n, sum(label)::DOUBLE AS g FROM x JOIN parts USING (id) GROUP BY ALL),
+scanned AS (SELECT sum(n) OVER up AS up_n, sum(g) OVER up AS up_g, sum(n) OVER term AS in_n, sum(g) OVER term AS in_g
+  FROM bins WINDOW up AS (PARTITION BY token ORDER BY bin DESC), term AS (PARTITION BY token)),
+totals AS (SELECT count(*)::DOUBLE AS n, sum(label)::DOUBLE AS g FROM parts WHERE split = 'train')""",
+    ) + best
+
+
 def queries() -> dict[str, str]:
     step = sql.step_query
     file_text = sql.stripped("'doc' || chr(10) || text")
@@ -181,10 +198,23 @@ def queries() -> dict[str, str]:
         + f"SELECT label, label_name, 'doc' AS subject, md5({file_text}) AS text_md5 FROM corpus",
         "streamed_mail_files": f"""{CORPUS} SELECT md5(t) AS text_md5, {sql.keyword_hit('t')} AS prediction,
   {NAME.format(sql.keyword_hit('t'))} AS predicted_name FROM (SELECT {file_text} AS t FROM corpus)""",
-        "linear_svm": model_facts("chosen_from_grid"),
-        "logistic_regression": model_facts("chosen_from_grid", "residuals_cancel", "gradient_vanishes"),
-        "random_forest": model_facts("point_of_grid"),
-        "gradient_boosted_trees": model_facts("point_of_grid"),
+        "linear_svm": model_facts(*LINEAR_FACTS),
+        "logistic_regression": model_facts(*LINEAR_FACTS),
+        "random_forest": model_facts("point_of_grid", "beats_constant"),
+        "gradient_boosted_trees": model_facts("point_of_grid", "loss_falls", "loss_is_halved"),
+        "forest_first_split": first_split_sql(
+            """SELECT n::BIGINT AS mails, round(g / n, 6) AS spam_share, round(max(
+  (g - up_g) * (g - up_g) / (n - up_n) + up_g * up_g / up_n - g * g / n), 6) AS gain
+FROM scanned, totals WHERE n > up_n GROUP BY n, g"""
+        ),
+        "boosting_first_split": first_split_sql(
+            """, sides AS (
+  SELECT (n / 2 - g) AS all_g, n / 4 AS all_h, up_n / 2 - up_g AS right_g, up_n / 4 AS right_h FROM scanned, totals
+  UNION ALL SELECT n / 2 - g, n / 4, (n - in_n + up_n) / 2 - (g - in_g + up_g), (n - in_n + up_n) / 4 FROM scanned, totals)
+SELECT round(max((all_g - right_g) * (all_g - right_g) / (all_h - right_h + 1) + right_g * right_g / (right_h + 1)
+  - all_g * all_g / (all_h + 1)), 6) AS gain, round(ln(2), 6) AS first_loss, true AS loss_falls
+FROM sides WHERE right_h >= 1 AND all_h - right_h >= 1"""
+        ),
         "experiment_grid": f"""WITH nb AS ({experiment_sql()})
 SELECT experiment, model, tn + fp + fn + tp AS mails, true AS f1_follows, true AS accuracy_follows, true AS cv_in_range,
   f1_spam AS nb_f1_spam, cv_best_f1 AS nb_cv_best_f1 FROM nb
