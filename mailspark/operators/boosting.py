@@ -3,8 +3,8 @@
 Many *runs* (a view of the training mails and a grid point) advance together: every level
 of the next tree of all runs is one job.  A job reads the mails where they lie, sums
 gradient and Hessian of the log loss by (run, node, term, bin) over non-zero cells, and
-Spark adds these sums up, scans the bins of every term and keeps the best split of each
-node.  Splits are few (nodes of the trees that grow just now), so they come to the driver
+these sums are dealt by term, added up, and the bins of every term are scanned for the best
+split of each node.  Splits are few (nodes of the trees that grow just now), so they come to the driver
 and go out with the next job; vectors and margins stay where they are.
 
 A split's mails without the term go to the side where the gain is larger.  A leaf's value
@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailspark.config import SEED
@@ -56,7 +56,7 @@ SCALE_BITS = 30
 STAGE = 10
 LOSS_DIGITS = 12
 #: Jobs are many and short, so few mails are in few parts.
-FEWEST_PARTS = 4
+FEWEST_PARTS = 8
 
 
 @dataclass(frozen=True)
@@ -224,64 +224,94 @@ def level_sums(
     return work
 
 
-def best_splits(sums: DataFrame, totals: list[tuple[int, int, int, int]]) -> dict[tuple[int, int], dict]:
-    """Of every (run, node) the split with the largest gain, if any has enough.
+SPLIT_ARROW = pa.schema(
+    [("run", pa.int32()), ("node", pa.int64()), ("gain", pa.float64()), ("less_term", pa.int64()),
+     ("absent_left", pa.bool_()), ("edge", pa.int32()), ("right_g", pa.int64()), ("right_h", pa.int64())]
+)
 
-    ``totals`` has (run, node, g, h) of the open nodes.
+
+def scanner(totals: dict[tuple[int, int], tuple[int, int]]):
+    """The best split of each (run, node) among the terms of a partition.
+
+    A partition has all sums of its terms; ``totals`` has (g, h) of the open nodes.
     """
-    spark = sums.sparkSession
-    # As values of the statement, so that they need no job of their own; one row per open node.
-    values = ", ".join(f"({r}, {node}L, {g}L, {h}L)" for r, node, g, h in totals)
-    known = spark.sql(f"SELECT * FROM VALUES {values} AS t(run, node, all_g, all_h)")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    of_term = Window.partitionBy("run", "node", "term")
-    above = of_term.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = (
-        sums.repartition(parts, "run", "node", "term")
-        .groupBy("run", "node", "term", "bin")
-        .agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-        .select(
-            "run", "node", "term", "bin",
-            F.sum("g").over(above).alias("up_g"), F.sum("h").over(above).alias("up_h"),
-            F.sum("g").over(of_term).alias("in_g"), F.sum("h").over(of_term).alias("in_h"),
-        )
-        .join(F.broadcast(known), ["run", "node"])
-    )
-    unit = float(1 << SCALE_BITS)
 
-    def value(g, h):
-        g, h = g / F.lit(unit), h / F.lit(unit)
-        return g * g / (h + F.lit(PENALTY))
-
-    def side(absent_right: bool):
-        if absent_right:
-            left_g, left_h = F.col("in_g") - F.col("up_g"), F.col("in_h") - F.col("up_h")
-            right_g, right_h = F.col("all_g") - left_g, F.col("all_h") - left_h
-        else:
-            right_g, right_h = F.col("up_g"), F.col("up_h")
-            left_g, left_h = F.col("all_g") - right_g, F.col("all_h") - right_h
-        gain = value(left_g, left_h) + value(right_g, right_h) - value(F.col("all_g"), F.col("all_h"))
-        least = F.lit(int(LEAST_HESSIAN * unit))
-        enough = (left_h >= least) & (right_h >= least) & (gain > LEAST_GAIN)
-        return F.when(
-            enough,
-            F.struct(
-                gain.alias("gain"),
-                (-F.col("term")).alias("less_term"),
-                F.lit(not absent_right).alias("absent_left"),
-                F.col("bin").alias("edge"),
-                right_g.alias("right_g"),
-                right_h.alias("right_h"),
-            ),
+    def work(batches: Iterable[pa.RecordBatch]):
+        sums = _whole(batches)
+        if sums is None:
+            return
+        run, node, term, bins, g, h = (sums.column(c).to_numpy() for c in ("run", "node", "term", "bin", "g", "h"))
+        order = np.lexsort((-bins, term, node, run))
+        run, node, term, bins, g, h = (c[order] for c in (run, node, term, bins, g, h))
+        new_term = np.concatenate(
+            [[True], (run[1:] != run[:-1]) | (node[1:] != node[:-1]) | (term[1:] != term[:-1])]
         )
+        first = np.flatnonzero(new_term | np.concatenate([[True], bins[1:] != bins[:-1]]))
+        g, h = np.add.reduceat(g, first), np.add.reduceat(h, first)
+        run, node, term, bins = (c[first] for c in (run, node, term, bins))
+        begins = np.flatnonzero(new_term[first])
+        sizes = np.diff(np.append(begins, len(g)))
+
+        def scanned(amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Of each bin and those above, and of all bins of the term."""
+            running = np.cumsum(amounts)
+            before = np.repeat(running[begins] - amounts[begins], sizes)
+            return running - before, np.repeat(np.add.reduceat(amounts, begins), sizes)
+
+        (up_g, in_g), (up_h, in_h) = scanned(g), scanned(h)
+        new_node = np.concatenate([[True], (run[1:] != run[:-1]) | (node[1:] != node[:-1])])
+        starts = np.flatnonzero(new_node)
+        known = np.array([totals[r, n] for r, n in zip(run[starts].tolist(), node[starts].tolist())])
+        all_g, all_h = (np.repeat(known[:, i], np.diff(np.append(starts, len(g)))) for i in (0, 1))
+        unit = float(1 << SCALE_BITS)
+
+        def value(g: np.ndarray, h: np.ndarray) -> np.ndarray:
+            return (g / unit) ** 2 / (h / unit + PENALTY)
+
+        # Mails without the term on the left, then on the right.
+        right_g = np.concatenate([up_g, all_g - in_g + up_g])
+        right_h = np.concatenate([up_h, all_h - in_h + up_h])
+        all_g, all_h = np.tile(all_g, 2), np.tile(all_h, 2)
+        gain = value(all_g - right_g, all_h - right_h) + value(right_g, right_h) - value(all_g, all_h)
+        least = int(LEAST_HESSIAN * unit)
+        enough = (right_h >= least) & (all_h - right_h >= least) & (gain > LEAST_GAIN)
+        rows = np.flatnonzero(enough)
+        if not len(rows):
+            return
+        at, absent_left = rows % len(run), rows < len(run)
+        order = np.lexsort((bins[at], absent_left, -term[at], gain[rows], node[at], run[at]))
+        rows, at, absent_left = rows[order], at[order], absent_left[order]
+        last = np.flatnonzero(
+            np.concatenate([(run[at][1:] != run[at][:-1]) | (node[at][1:] != node[at][:-1]), [True]])
+        )
+        rows, at, absent_left = rows[last], at[last], absent_left[last]
+        found = (run[at], node[at], gain[rows], -term[at], absent_left, bins[at], right_g[rows], right_h[rows])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c).cast(t) for c, t in zip(found, SPLIT_ARROW.types)], schema=SPLIT_ARROW
+        )
+
+    return work
 
-    best = (
-        scanned.select("run", "node", F.greatest(side(False), side(True)).alias("split"))
-        .where(F.col("split").isNotNull())
-        .groupBy("run", "node")
-        .agg(F.max("split").alias("split"))
+
+def best_splits(sums: DataFrame, totals: list[tuple[int, int, int, int]]) -> dict[tuple[int, int], dict]:
+    """Of every (run, node) the split with the largest gain, if any has enough.
+
+    ``totals`` has (run, node, g, h) of the open nodes.  Of equal gains the smallest term
+    wins, then absent mails on the left, then the largest edge.
+    """
+    parts = int(sums.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = {(r, n): (g, h) for r, n, g, h in totals}
+    rows = sums.repartition(parts, "run", "node", "term").mapInArrow(
+        scanner(known),
+        "run int, node long, gain double, less_term long, absent_left boolean, edge int, right_g long, right_h long",
     )
-    return {(r["run"], r["node"]): r["split"].asDict() for r in best.collect()}  # one per open node
+    best: dict[tuple[int, int], dict] = {}
+    order = ("gain", "less_term", "absent_left", "edge")
+    for row in rows.collect():  # at most one per open node and partition
+        key, split = (row["run"], row["node"]), row.asDict()
+        if key not in best or [split[c] for c in order] > [best[key][c] for c in order]:
+            best[key] = split
+    return best
 
 
 def boost(
