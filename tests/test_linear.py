@@ -177,6 +177,8 @@ def test_a_part_lowers_the_gap_whatever_the_others_do(loss):
         width_of_gap, dual = gap()
         assert width_of_gap >= -1e-9 and dual >= last - 1e-6
         last = dual
+        if width_of_gap <= linear.TOLERANCE * point.cost * 100:
+            break  # a fit that is done is left out
     assert width_of_gap < 1e-3 * point.cost * 100
 
 
