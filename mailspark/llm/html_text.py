@@ -3,6 +3,7 @@
 * *Trees.* Each page is parsed to a tree of its block elements, with a leaf for every run
   of text.  A node's label is its tag with its classes and id.  Neighbouring siblings of
   one label are merged, so lists and paragraphs of any number have one shape.
+  So are the children of one label of a node with more than ``WIDEST`` groups of them.
 * *Alignment.* The shapes of a host's pages are aligned by simple tree matching (the
   largest order-preserving match of nodes with equal labels below equal labels) and
   folded into a wrapper that has every node of every shape once.  Shapes are counted
@@ -38,8 +39,9 @@ import json
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from html.parser import HTMLParser
+from itertools import accumulate
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -56,6 +58,9 @@ ARTICLE_SHARE = 0.9
 #: On hosts with fewer different pages a template text is on all of them.
 FEW_PAGES = 5
 DEEPEST = 60
+#: A node with more groups of children is a flow, as the body of a long article: its
+#: children of one label are one node of the shape.
+WIDEST = 64
 FOLD_SHAPES = 64
 
 # Elements by what they are for.
@@ -278,97 +283,150 @@ def matched(a: tuple, b: tuple) -> int:
     """Simple tree matching: nodes in the largest order-preserving match of two shapes."""
     if a[0] != b[0]:
         return 0
-    return 1 + _table(a[1], b[1])[-1][-1]
-
-
-def _table(a: tuple, b: tuple) -> list[list[int]]:
-    rows = [[0] * (len(b) + 1)]
-    for x in a:
-        above, row = rows[-1], [0]
-        for j, y in enumerate(b):
-            both = above[j] + (matched(x, y) if x[0] == y[0] else 0)
-            row.append(max(row[j], above[j + 1], both))
-        rows.append(row)
-    return rows
-
-
-def pairs(a: tuple, b: tuple) -> list[tuple[int | None, int | None]]:
-    """The children of both in order, matched ones together."""
-    rows, i, j, found = _table(a, b), len(a), len(b), []
-    while i or j:
-        if i and j and a[i - 1][0] == b[j - 1][0] and (
-            rows[i][j] == rows[i - 1][j - 1] + matched(a[i - 1], b[j - 1])
-        ):
-            i, j = i - 1, j - 1
-            found.append((i, j))
-        elif j and rows[i][j] == rows[i][j - 1]:
-            j -= 1
-            found.append((None, j))
-        else:
-            i -= 1
-            found.append((i, None))
-    return found[::-1]
+    if a == b:
+        return size_of(a)
+    return 1 + sum(matched(a[1][i], b[1][j]) for i, j in pairs(a[1], b[1]))
+
+
+@lru_cache(maxsize=1 << 14)
+def size_of(shape: tuple) -> int:
+    return 1 + sum(map(size_of, shape[1]))
+
+
+@lru_cache(maxsize=1 << 8)
+def pairs(a: tuple, b: tuple) -> tuple[tuple[int, int], ...]:
+    """Places of the children that are matched: the heaviest common subsequence.
+
+    Equal heads and tails match.  Between them only children of one label are looked at,
+    and a tree of maxima over the places in ``b`` gives the best chain before each.
+    """
+    head, least = 0, min(len(a), len(b))
+    while head < least and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < least - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    places: dict[str, list[int]] = defaultdict(list)
+    for j in range(head, len(b) - tail):
+        places[b[j][0]].append(j)
+    width = len(b) - tail - head
+    best: list[tuple[int, int]] = [(0, -1)] * (width + 1)
+    links: list[tuple[int, int, int]] = []
+    for i in range(head, len(a) - tail):
+        # From the right, so that a child is matched once.
+        for j in reversed(places.get(a[i][0], ())):
+            k, top = j - head, (0, -1)
+            while k:
+                top = max(top, best[k])
+                k &= k - 1
+            weight = top[0] + matched(a[i], b[j])
+            links.append((i, j, top[1]))
+            k = j - head + 1
+            while k <= width:
+                if best[k][0] < weight:
+                    best[k] = (weight, len(links) - 1)
+                k += k & -k
+    k, last = width, (0, -1)
+    while k:
+        last = max(last, best[k])
+        k &= k - 1
+    middle, at = [], last[1]
+    while at >= 0:
+        i, j, at = links[at]
+        middle.append((i, j))
+    ends = [(len(a) - t, len(b) - t) for t in range(tail, 0, -1)]
+    return (*((i, i) for i in range(head)), *middle[::-1], *ends)
 
 
 def merged(a: tuple, b: tuple) -> tuple:
     """A shape with the nodes of both, matched ones once."""
     if a == b:
         return a
-    children = [
-        b[1][j] if i is None else a[1][i] if j is None else merged(a[1][i], b[1][j])
-        for i, j in pairs(a[1], b[1])
-    ]
+    children: list[tuple] = []
+    done_a = done_b = 0
+    for i, j in (*pairs(a[1], b[1]), (len(a[1]), len(b[1]))):
+        children += b[1][done_b:j]
+        children += a[1][done_a:i]
+        if i < len(a[1]):
+            children.append(merged(a[1][i], b[1][j]))
+        done_a, done_b = i + 1, j + 1
     return a[0], tuple(_joined(children))
 
 
 def _joined(children: list[tuple]) -> list[tuple]:
-    """Neighbours of one label merged."""
-    found: list[tuple] = []
+    """Neighbours of one label merged; of a flow, all children of one label."""
+    groups: list[dict[tuple, None]] = []
+    labels: list[str] = []
     for child in children:
-        if found and found[-1][0] == child[0]:
-            found[-1] = merged(found[-1], child)
-        else:
-            found.append(child)
+        if not labels or labels[-1] != child[0]:
+            labels.append(child[0])
+            groups.append({})
+        groups[-1][child] = None
+    if len(groups) > WIDEST:
+        flow: dict[str, dict[tuple, None]] = {}
+        for label, group in zip(labels, groups):
+            flow.setdefault(label, {}).update(group)
+        groups = list(flow.values())
+    return [reduce(merged, group) for group in groups]
+
+
+def shape_of(node: Node, known: dict[int, tuple] | None = None) -> tuple:
+    """The shape of a tree; ``known`` takes that of every node by its identity."""
+    shape = node.label, tuple(_joined([shape_of(c, known) for c in node.children]))
+    if known is not None:
+        known[id(node)] = shape
+    return shape
+
+
+def _starts(shape: tuple, number: int) -> list[int]:
+    """The preorder numbers of a shape's children."""
+    return list(accumulate(map(size_of, shape[1]), initial=number + 1))[:-1]
+
+
+def _places(own: tuple, shapes: tuple) -> dict[int, int]:
+    """Where children stand in a wider shape: where matched, or the one of their label."""
+    found = dict(pairs(own, shapes))
+    if len(found) < len(own):
+        only: dict[str, int] = {}
+        for j, child in enumerate(shapes):
+            only[child[0]] = -1 if child[0] in only else j
+        for i, child in enumerate(own):
+            if i not in found and only.get(child[0], -1) >= 0:
+                found[i] = only[child[0]]
     return found
 
 
-def shape_of(node: Node) -> tuple:
-    return node.label, tuple(_joined([shape_of(c) for c in node.children]))
-
-
-def numbered(node: Node, shape: tuple) -> Iterator[tuple[Node, int]]:
+def numbered(node: Node, shape: tuple, known: dict[int, tuple]) -> Iterator[tuple[Node, int]]:
     """Texts of a page with the preorder number of their node in the page's shape."""
 
-    def size(s: tuple) -> int:
-        return sizes.setdefault(id(s), 1 + sum(map(size, s[1])))
-
     def walk(nodes: list[Node], s: tuple, first: int) -> Iterator[tuple[Node, int]]:
         # All nodes of one place in the shape share its number; walk child by child.
+        starts = _starts(s, first)
         for node in nodes:
-            kids = node.children
-            for group, k in placed(kids, s[1]):
-                number = first + 1 + sum(size(x) for x in s[1][:k])
-                if s[1][k][0] == TEXT:
-                    yield from ((n, number) for n in group)
+            own = known[id(node)][1]
+            at = _places(own, s[1])
+            # A node's children are in the group of the next neighbours of their label,
+            # or in that of their label, if the children are a flow.
+            groups: list[list[Node]] = []
+            for c in node.children:
+                if groups and groups[-1][0].label == c.label:
+                    groups[-1].append(c)
                 else:
-                    yield from walk(group, s[1][k], number)
-
-    def placed(kids: list[Node], shapes: tuple) -> Iterator[tuple[list[Node], int]]:
-        own = tuple(_joined([shape_of(c) for c in kids]))
-        groups: list[list[Node]] = []
-        for c in kids:
-            if groups and groups[-1][0].label == c.label:
-                groups[-1].append(c)
-            else:
-                groups.append([c])
-        if own == shapes:
-            yield from zip(groups, range(len(groups)))
-        else:
-            for i, j in pairs(own, shapes):
-                if i is not None and j is not None:
-                    yield groups[i], j
+                    groups.append([c])
+            if len(groups) != len(own):
+                flow: dict[str, list[Node]] = {}
+                for group in groups:
+                    flow.setdefault(group[0].label, []).extend(group)
+                groups = list(flow.values())
+            for i, group in enumerate(groups):
+                if i not in at:
+                    continue
+                j = at[i]
+                if s[1][j][0] == TEXT:
+                    yield from ((n, starts[j]) for n in group)
+                else:
+                    yield from walk(group, s[1][j], starts[j])
 
-    sizes: dict[int, int] = {}
     yield from walk([node], shape, 0)
 
 
@@ -376,20 +434,13 @@ def aligned(shape: tuple, wrapper: tuple) -> list[int]:
     """For each node of a shape in preorder, its preorder number in the wrapper, or -1."""
     found: list[int] = []
 
-    def size(s: tuple) -> int:
-        return 1 + sum(map(size, s[1]))
-
     def walk(s: tuple, w: tuple | None, number: int) -> None:
         found.append(number)
         if w is None:
             for child in s[1]:
                 walk(child, None, -1)
             return
-        places = {i: j for i, j in pairs(s[1], w[1]) if i is not None and j is not None}
-        starts, n = [], number + 1
-        for child in w[1]:
-            starts.append(n)
-            n += size(child)
+        places, starts = _places(s[1], w[1]), _starts(w, number)
         for i, child in enumerate(s[1]):
             j = places.get(i)
             walk(child, None if j is None else w[1][j], -1 if j is None else starts[j])
@@ -439,12 +490,13 @@ def page_shapes(pages: DataFrame) -> DataFrame:
             found: dict[str, list] = {"host": [], "content": [], "shape": [], "texts": []}
             for url, html in zip(rows.column("url").to_pylist(), htmls):
                 root = parse(html)
-                shape = shape_of(root)
+                known: dict[int, tuple] = {}
+                shape = shape_of(root, known)
                 kept = [(n, p) for n, p in leaves(root) if not n.dropped]
                 paths = {id(n): p for n, p in kept}
                 texts = {
                     (number, hash64(paths[id(n)], n.text), n.article, len(n.text))
-                    for n, number in numbered(root, shape)
+                    for n, number in numbered(root, shape, known)
                     if id(n) in paths
                 }
                 found["host"].append(host_of(url))

@@ -1,13 +1,16 @@
 import random
 from itertools import permutations
+from time import process_time
 
 from mailspark.llm import html_text
 from mailspark.llm.html_text import (
     aligned,
     extract,
+    leaves,
     main_text,
     matched,
     merged,
+    numbered,
     parse,
     shape_of,
 )
@@ -92,6 +95,46 @@ def test_repeated_siblings_have_one_shape():
     assert shape("<ul><li>a<li>b</ul>") == shape("<ul><li>a<li>b<li>c<li>d</ul>")
 
 
+def all_matches(a, b):
+    """Simple tree matching by trying every order-preserving match of children."""
+    if a[0] != b[0]:
+        return 0
+
+    def best(xs, ys):
+        if not xs or not ys:
+            return 0
+        skip = max(best(xs[1:], ys), best(xs, ys[1:]))
+        return max(skip, all_matches(xs[0], ys[0]) + best(xs[1:], ys[1:]))
+
+    return 1 + best(a[1], b[1])
+
+
+def test_matching_is_the_best_of_all():
+    rng = random.Random(5)
+
+    def tree(depth):
+        kids = rng.randrange(5) if depth else 0
+        return rng.choice("abc"), tuple(tree(depth - 1) for _ in range(kids))
+
+    for _ in range(300):
+        a, b = ("x", (tree(2), tree(2), tree(1))), ("x", (tree(2), tree(1), tree(2)))
+        assert matched(a, b) == all_matches(a, b) == matched(b, a)
+
+
+def test_long_pages_take_linear_time():
+    rng = random.Random(6)
+    kinds = ["<h3>a</h3>", "<p>b</p>", "<ul><li>c</ul>", "<div class=x><p>d<h4>e</h4></div>"]
+    for pick in (lambda i: kinds[i % 2], lambda i: rng.choice(kinds)):
+        body = "".join(map(pick, range(20_000)))
+        began, known = process_time(), {}
+        tree = parse(f"<div>{body}</div><div><p>x</p></div>")
+        shape = shape_of(tree, known)
+        found = list(numbered(tree, shape, known))
+        assert len(found) == sum(1 for _ in leaves(tree))
+        assert merged(shape, shape_of(parse(body))) and process_time() - began < 10
+        assert len({number for _, number in found}) < 12
+
+
 def site(n, rng):
     """Pages of one host: what is constant is template, whatever its element."""
     rows = []
