@@ -60,7 +60,7 @@ FEW_PAGES = 5
 DEEPEST = 60
 #: A node with more groups of children is a flow, as the body of a long article: its
 #: children of one label are one node of the shape.
-WIDEST = 64
+WIDEST = 256
 FOLD_SHAPES = 64
 
 # Elements by what they are for.
