@@ -15,15 +15,20 @@
   Of two to four different pages all must have it, and if such texts are the larger part
   of these pages, they are versions of one page rather than pages of one template.  A
   single page has no template.
-* *Regions.* Varying text is still no content in menus, headers, footers, sidebars,
-  notices, adverts, forms and comments, which vary from page to page too; these are known
-  by element, role, class and id.  Inside an article, and of inline elements, only a class
-  or id that names such a region as a whole counts; inline elements of an article and of
-  code stay whatever their names.  If a page has an article or main element with text
-  outside such regions, its content lies there.
-
-The second scan needs only the constant texts of each host (hashes, at most a few for
-every leaf of a usual page), which Spark joins as their size demands.
+* *Regions.* Varying text is still no content in menus, adverts and the like, which vary
+  from page to page too.  The wrapper's nodes tell by what all pages have in them, summed
+  along the alignment: an element on half the pages with more text in links than beside is
+  a menu; one with bare text, a tenth of what the main block beside it has, is a slot for
+  adverts; one with a good share of the text is content, whatever its name.  Elements,
+  roles, and classes and ids that name a region as a whole (``related-posts``) are regions
+  on all hosts; other names with such a word (``social-sciences``) are up to the wrapper.
+  On hosts of fewer than ``FEW_PAGES`` pages the page's own sums decide of these.
+* *Articles.* Inside an article only a name as a whole counts; inline elements of an article
+  and of code stay unless they name an advert.  If a page has an article or main element with text
+  outside regions, its content lies there, unless it is a teaser beside a far longer text.
+
+The second scan needs only the constant texts and judged paths of each host (hashes, at
+most a few for every leaf of a usual page), which Spark joins as their size demands.
 
 Rows: a null page or one without content has an empty text; a null or unreadable url has
 no host, and such pages share no template; repeated rows and ids are extracted each, but
@@ -57,6 +62,15 @@ TEMPLATE_SHARE = 0.5
 ARTICLE_SHARE = 0.9
 #: On hosts with fewer different pages a template text is on all of them.
 FEW_PAGES = 5
+#: A doubtful name's element is content with so many letters on a page outside links, and
+#: such a share of the page's.
+CONTENT_CHARS = 200
+CONTENT_SHARE = 0.2
+#: The main block of a page has this share of its text, a slot beside it at most the other.
+MAIN_SHARE = 0.7
+SLOT_SHARE = 0.1
+#: An article is a teaser if the text outside is so many times as long.
+TEASER = 4
 DEEPEST = 60
 #: A node with more groups of children is a flow, as the body of a long article: its
 #: children of one label are one node of the shape.
@@ -94,8 +108,16 @@ NAMES = frozenset(
 #: Words that go with these in a name of such a region.
 BOXES = frozenset(
     "area bar block box button buttons container form icons inner item items links list "
-    "module panel posts section slot thread unit wrap wrapper".split()
+    "content module panel policy posts reader readers section slot thread unit user users wrap "
+    "wrapper".split()
+)
+#: Words that tell whose region it is, outside an article.
+PLACES = frozenset(
+    "article blog bottom global left local main page post primary right secondary site top".split()
 )
+ADVERTS = frozenset("ad ads adbox adsense advert advertisement advertising adverts sponsored".split())
+#: Blocks of running text; others hold them.
+FLOWS = frozenset("address blockquote dd dt figure h1 h2 h3 h4 h5 h6 hgroup li p pre".split())
 #: Words by which a name tells a title, or a state of what it stands at.
 TITLES = frozenset("article entry post section story title".split())
 STATES = frozenset(
@@ -121,12 +143,25 @@ UNENDED = re.compile(r"<[a-zA-Z/!?]")
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "text", "dropped", "article")
-
-    def __init__(self, tag: str, label: str, dropped: bool, article: bool, text: str = ""):
+    """An element or a run of text; ``links`` of its letters are in links, and ``doubt`` has
+    the depths of the elements above whose names leave open what they are."""
+
+    __slots__ = ("tag", "label", "children", "text", "dropped", "article", "links", "doubt")
+
+    def __init__(
+        self,
+        tag: str,
+        label: str,
+        dropped: bool,
+        article: bool,
+        text: str = "",
+        links: int = 0,
+        doubt: tuple[int, ...] = (),
+    ):
         self.tag, self.label, self.text = tag, label, text
         self.children: list[Node] = []
         self.dropped, self.article = dropped, article
+        self.links, self.doubt = links, doubt
 
 
 def _names(attrs: dict) -> list[str]:
@@ -134,16 +169,24 @@ def _names(attrs: dict) -> list[str]:
 
 
 def _aside(tag: str, attrs: dict, names: list[str], in_article: bool) -> bool:
+    """An element that is a region wherever it stands."""
     if tag in ASIDE and not (tag == "header" and in_article):
         return True
     if "hidden" in attrs or (attrs.get("role") or "").lower() in ROLES:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    if tag in BLOCKS and not in_article:
-        return any(map(_names_region, names))
-    # Inside an article, and of inline elements, the name as a whole has to be one.
-    return not (in_article and tag not in BLOCKS) and any(map(_is_region, names))
+    if in_article and tag not in BLOCKS:
+        return False
+    places = tag in BLOCKS and not in_article
+    return any(_is_region(n, places) for n in names)
+
+
+def _doubtful(tag: str, names: list[str], in_article: bool) -> bool:
+    """A block whose name has the word of a region, but tells something else too."""
+    if in_article or tag in ("html", "body", "article", "main"):
+        return False
+    return any(map(_names_region, names))
 
 
 @lru_cache(maxsize=1 << 14)
@@ -156,10 +199,17 @@ def _names_region(name: str) -> bool:
 
 
 @lru_cache(maxsize=1 << 14)
-def _is_region(name: str) -> bool:
+def _is_region(name: str, places: bool = False) -> bool:
     """A class or id that names a region as a whole; a header has to be one outside."""
     words = set(PARTS.findall(name))
-    return "header" not in words and not words.isdisjoint(NAMES) and words <= NAMES | BOXES
+    if "header" in words or words.isdisjoint(NAMES) or not STATES.isdisjoint(words):
+        return False
+    return words <= (NAMES | BOXES | PLACES if places else NAMES | BOXES)
+
+
+def _is_advert(name: str) -> bool:
+    words = set(PARTS.findall(name))
+    return not words.isdisjoint(ADVERTS) and words <= ADVERTS | BOXES
 
 
 class TreeBuilder(HTMLParser):
@@ -176,14 +226,16 @@ class TreeBuilder(HTMLParser):
         self.run: list[str] = []
         self.hushed: list[str] = []
         self.code = 0
+        # How many elements were open where the open link began, and its letters.
+        self.link = self.linked = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.run).split())
-        self.run = []
+        links, self.linked, self.run = min(self.linked, len(text)), 0, []
         if text:
             at = self.open[-1]
             parent = self.open[min(len(self.open), DEEPEST) - 1]
-            parent.children.append(Node(TEXT, TEXT, at.dropped, at.article, text))
+            parent.children.append(Node(TEXT, TEXT, at.dropped, at.article, text, links, at.doubt))
 
     def handle_starttag(self, tag, attrs):
         if self.silent:
@@ -202,8 +254,11 @@ class TreeBuilder(HTMLParser):
                 self.run.append(" ")
             elif tag not in VOID:
                 in_code = self.code or self.places["pre"]
-                if self.hushed or found and _aside(tag, found, names, at.article or in_code):
+                aside = found and _aside(tag, found, names, at.article or in_code)
+                if self.hushed or aside or not in_code and any(map(_is_advert, names)):
                     self.hushed.append(tag)
+                elif tag == "a":
+                    self.link = len(self.open) if found.get("href") is not None else 0
                 elif tag == "code":
                     self.code += 1
             return
@@ -216,7 +271,13 @@ class TreeBuilder(HTMLParser):
         at = self.open[-1]
         label = ".".join([tag, *(re.sub(r"\d+", "", n) for n in names if n)])
         article = at.article or tag in ("article", "main") or found.get("role") == "main"
-        node = Node(tag, label, at.dropped or _aside(tag, found, names, at.article), article)
+        dropped = at.dropped or _aside(tag, found, names, at.article)
+        doubt = at.doubt
+        if not dropped and _doubtful(tag, names, at.article):
+            # What is deeper than the tree has no place of its own to be judged at.
+            dropped = len(self.open) >= DEEPEST
+            doubt = (*doubt, len(self.open))
+        node = Node(tag, label, dropped, article, doubt=doubt)
         if len(self.open) < DEEPEST:
             at.children.append(node)
         if tag not in VOID:
@@ -237,6 +298,8 @@ class TreeBuilder(HTMLParser):
             if node.tag in WALLS:
                 self.walls.pop()
         del self.open[at:]
+        if self.link > at:
+            self.link = 0
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -253,6 +316,8 @@ class TreeBuilder(HTMLParser):
                 del self.hushed[len(self.hushed) - 1 - self.hushed[::-1].index(tag) :]
             elif tag == "code" and self.code:
                 self.code -= 1
+            elif tag == "a":
+                self.link = 0
             return
         self.hushed.clear()
         self.flush()
@@ -262,6 +327,8 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data):
         if not self.silent and not self.hushed:
             self.run.append(data)
+            if self.link:
+                self.linked += len(data.strip())
 
 
 def parse(html: str) -> Node:
@@ -481,58 +548,61 @@ def leaves(node: Node, path: str = "") -> Iterator[tuple[Node, str]]:
             yield from leaves(child, f"{path}/{child.label}")
 
 
+TEXTS = pa.list_(
+    pa.struct([("node", pa.int32()), ("hash", pa.int64()), ("article", pa.bool_()), ("size", pa.int64())])
+)
+SLOTS = pa.list_(
+    pa.struct(
+        [
+            ("node", pa.int32()),
+            ("dropped", pa.bool_()),
+            ("article", pa.bool_()),
+            ("chars", pa.int64()),
+            ("links", pa.int64()),
+        ]
+    )
+)
+
+
 def page_shapes(pages: DataFrame) -> DataFrame:
-    """Of each page: host, its shape, and a hash of its texts outside regions that are
-    dropped anyway, and these as (node in the shape, hash with the path, in an article, size)."""
+    """Of each page: host, its shape, a hash of its texts outside regions that are dropped
+    anyway, these as (node in the shape, hash with the path, in an article, size), and for
+    each node, also in such regions, the sizes of its texts and of what is in links."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, htmls in text_slices(batches, "html"):
-            found: dict[str, list] = {"host": [], "content": [], "shape": [], "texts": []}
+            found: dict[str, list] = {"host": [], "content": [], "shape": [], "texts": [], "slots": []}
             for url, html in zip(rows.column("url").to_pylist(), htmls):
                 root = parse(html)
                 known: dict[int, tuple] = {}
                 shape = shape_of(root, known)
                 kept = [(n, p) for n, p in leaves(root) if not n.dropped]
                 paths = {id(n): p for n, p in kept}
-                texts = {
-                    (number, hash64(paths[id(n)], n.text), n.article, len(n.text))
-                    for n, number in numbered(root, shape, known)
-                    if id(n) in paths
-                }
+                texts: set[tuple] = set()
+                slots: dict[int, list] = {}
+                for n, number in numbered(root, shape, known):
+                    if id(n) in paths:
+                        texts.add((number, hash64(paths[id(n)], n.text), n.article, len(n.text)))
+                    slot = slots.setdefault(number, [number, n.dropped, n.article, 0, 0])
+                    slot[3] += len(n.text)
+                    slot[4] += n.links
                 found["host"].append(host_of(url))
                 found["content"].append(hash64(*(n.text for n, _ in kept)))
                 found["shape"].append(packed(shape))
-                found["texts"].append(
-                    [
-                        {"node": a, "hash": b, "article": c, "size": d}
-                        for a, b, c, d in sorted(texts)
-                    ]
-                )
+                names = ("node", "hash", "article", "size")
+                found["texts"].append([dict(zip(names, t)) for t in sorted(texts)])
+                names = ("node", "dropped", "article", "chars", "links")
+                found["slots"].append([dict(zip(names, t)) for t in slots.values()])
+            types = (pa.string(), pa.int64(), pa.string(), TEXTS, SLOTS)
             yield pa.RecordBatch.from_pydict(
-                {
-                    "host": pa.array(found["host"], pa.string()),
-                    "content": pa.array(found["content"], pa.int64()),
-                    "shape": pa.array(found["shape"], pa.string()),
-                    "texts": pa.array(
-                        found["texts"],
-                        pa.list_(
-                            pa.struct(
-                                [
-                                    ("node", pa.int32()),
-                                    ("hash", pa.int64()),
-                                    ("article", pa.bool_()),
-                                    ("size", pa.int64()),
-                                ]
-                            )
-                        ),
-                    ),
-                }
+                {k: pa.array(v, t) for (k, v), t in zip(found.items(), types)}
             )
 
     return pages.select("url", "html").mapInArrow(
         run,
         "host string, content long, shape string, "
-        "texts array<struct<node: int, hash: long, article: boolean, size: long>>",
+        "texts array<struct<node: int, hash: long, article: boolean, size: long>>, "
+        "slots array<struct<node: int, dropped: boolean, article: boolean, chars: long, links: long>>",
     )
 
 
@@ -566,7 +636,7 @@ def wrappers(shapes: DataFrame) -> DataFrame:
     return folded(left).withColumnRenamed("shape", "wrapper")
 
 
-def wrapper_nodes(shapes: DataFrame) -> DataFrame:
+def wrapper_nodes(shapes: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """For each (host, shape) the wrapper's node of each node of the shape."""
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table, wrapper: pa.Table) -> pa.Table:
@@ -582,7 +652,8 @@ def wrapper_nodes(shapes: DataFrame) -> DataFrame:
 
     # A group of shapes gets the wrapper once.
     grouped = shapes.select("host", "shape", fold_group(shapes)[1])
-    sent = grouped.select("host", "group").distinct().join(wrappers(shapes), "host")
+    sent = grouped.select("host", "group").distinct()
+    sent = sent.join(wrappers(shapes) if known is None else known, "host")
     sent = sent.toDF("of_host", "of_group", "wrapper")
     return (
         grouped.groupBy("host", "group")
@@ -591,10 +662,88 @@ def wrapper_nodes(shapes: DataFrame) -> DataFrame:
     )
 
 
+ARTICLE = hash64("an article has the content")
+
+
+def judged(wrapper: tuple, pages: int, nodes: dict[int, list]) -> tuple[set[int], set[int]]:
+    """Paths of a host's regions and of its content elements, as hashes.
+
+    ``nodes``: of each text node of the wrapper its pages, in an article, chars, links,
+    and if it lies in a region anyway.
+    """
+    regions: set[int] = set()
+    contents: set[int] = set()
+    total = sum(n[2] - n[3] for n in nodes.values() if not n[4])
+    inside = sum(n[2] - n[3] for n in nodes.values() if n[1] and not n[4])
+    if inside and inside * TEASER >= total - inside:
+        contents.add(ARTICLE)
+
+    def walk(shape: tuple, number: int, path: str) -> tuple[list, list]:
+        """pages, in an article, chars, links of a node; and of its elements, with paths."""
+        own = [0, False, 0, 0]
+        elements = []
+        for child, at in zip(shape[1], _starts(shape, number)):
+            if child[0] == TEXT:
+                found, bare = nodes.get(at, [0, False, 0, 0]), True
+            else:
+                below = f"{path}/{child[0]}"
+                found, inner = walk(child, at, below)
+                bare = not inner and child[0].split(".")[0] not in FLOWS
+                elements.append((below, child, at, found, bare))
+                plain = found[2] - found[3]
+                often = max(found[0], 1)
+                if 2 * found[0] >= pages and not found[1] and found[2] < 2 * found[3]:
+                    regions.add(hash64(below))
+                elif plain >= CONTENT_CHARS * often and plain * pages >= CONTENT_SHARE * total * often:
+                    if found[2] >= 2 * found[3]:
+                        contents.add(hash64(below))
+            own = [max(own[0], found[0]), own[1] or found[1], own[2] + found[2], own[3] + found[3]]
+        return own, elements
+
+    _, elements = walk(wrapper, 0, "")
+    # The first elements that share the page's text among them.
+    found = [e for e in elements if e[3][2] > e[3][3]]
+    while len(found) == 1:
+        _, elements = walk(found[0][1], found[0][2], found[0][0])
+        found = [e for e in elements if e[3][2] > e[3][3]]
+    if any(e[3][2] - e[3][3] >= MAIN_SHARE * total for e in found):
+        for path, _, _, (often, article, chars, links), bare in found:
+            short = (chars - links) * pages <= SLOT_SHARE * total * often
+            if bare and short and not article and 2 * often >= pages:
+                regions.add(hash64(path))
+    return regions, contents
+
+
+def host_regions(slots: DataFrame, known: DataFrame) -> DataFrame:
+    """host, regions, contents: from the sums at each wrapper node of a host."""
+
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table, wrapper: pa.Table) -> pa.Table:
+        if not (group.num_rows and wrapper.num_rows):
+            return pa.table({"host": [], "regions": [], "contents": []}, schema=schema)
+        rows = group.to_pylist()
+        nodes = {
+            r["node"]: [r["n"], r["article"], r["chars"], r["links"], r["dropped"]] for r in rows
+        }
+        shape = unpacked(wrapper.column("wrapper")[0].as_py())
+        regions, contents = judged(shape, rows[0]["pages"], nodes)
+        return pa.table(
+            {"host": [rows[0]["host"]], "regions": [sorted(regions)], "contents": [sorted(contents)]},
+            schema=schema,
+        )
+
+    many = pa.list_(pa.int64())
+    schema = pa.schema([("host", pa.string()), ("regions", many), ("contents", many)])
+    return (
+        slots.groupBy("host")
+        .cogroup(known.toDF("of_host", "wrapper").groupBy("of_host"))
+        .applyInArrow(run, "host string, regions array<long>, contents array<long>")
+    )
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """host, constants: hashes of the texts that are template on a host."""
+    """host, constants (hashes of the texts that are template on a host), regions, contents."""
     # Copies of a page say nothing about what is constant; one of them is counted.
-    one = F.min(F.struct("shape", "texts")).alias("page")
+    one = F.min(F.struct("shape", "texts", "slots")).alias("page")
     found = written(
         page_shapes(pages)
         .where((F.col("host") != "") & (F.size("texts") > 0))
@@ -610,7 +759,8 @@ def templates(pages: DataFrame) -> DataFrame:
         ),
         "shapes",
     )
-    nodes = written(wrapper_nodes(shapes.select("host", "shape")), "wrapper-nodes")
+    known = written(wrappers(shapes), "wrappers")
+    nodes = written(wrapper_nodes(shapes.select("host", "shape"), known), "wrapper-nodes")
     texts = (
         found.select("host", "shape", F.explode("texts").alias("t"))
         .groupBy("host", "shape", "t.node", "t.hash", "t.article", "t.size")
@@ -634,18 +784,75 @@ def templates(pages: DataFrame) -> DataFrame:
         .agg(F.collect_set("hash").alias("constants"), F.sum(F.col("n") * F.col("size")).alias("same"))
         .where(~few | (F.col("same") * 2 <= F.col("all_size")))
     )
-    return written(constant.select("host", "constants"), "templates")
+    sums = [F.sum("n").alias("n"), F.max("article").alias("article")]
+    sums += [F.min("dropped").alias("dropped"), *(F.sum(c).alias(c) for c in ("chars", "links"))]
+    slots = (
+        found.select("host", "shape", F.inline("slots"))
+        .groupBy("host", "shape", "node")
+        .agg(F.count(F.lit(1)).alias("n"), *sums[1:])
+        .join(nodes, ["host", "shape"])
+        .withColumn("node", F.col("nodes")[F.col("node")])
+        .groupBy("host", "node")
+        .agg(*sums)
+        .join(total.where(~few), "host")
+        .select("host", "node", "n", "article", "dropped", "chars", "links", "pages")
+    )
+    return written(
+        constant.select("host", "constants").join(host_regions(slots, known), "host", "full"),
+        "templates",
+    )
 
 
-def main_text(html: str, constants: set[int]) -> str:
-    """Blocks of the content, joined by an empty line."""
+def content(
+    root: Node, constants: set[int], regions: set[int] | None = None, contents: set[int] = frozenset()
+) -> list[Node]:
+    """The texts of a page that are content.  Without ``regions`` the host wasn't judged."""
+    found = [(n, path) for n, path in leaves(root) if not n.dropped]
+    total = sum(len(n.text) - n.links for n, _ in found)
+    sums: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+
+    def above(path: str, depth: int) -> str:
+        return "/".join(path.split("/")[: depth + 1])
+
+    for n, path in found:
+        for depth in n.doubt:
+            own = sums[above(path, depth)]
+            own[0] += len(n.text)
+            own[1] += len(n.text) - n.links
+    known: dict[str, bool] = {}
+
+    def stays(path: str) -> bool:
+        """No element of the path is a region of the host."""
+        if path not in known:
+            upper = path.rpartition("/")[0]
+            known[path] = not path or hash64(path) not in regions and stays(upper)
+        return known[path]
+
+    def trusted(path: str) -> bool:
+        if regions is not None:
+            return hash64(path) in contents
+        chars, plain = sums[path]
+        return plain >= CONTENT_CHARS and plain >= CONTENT_SHARE * total and 2 * plain > chars
+
+    trust = {path: trusted(path) for path in sums}
     kept = [
         n
-        for n, path in leaves(parse(html))
-        if not n.dropped and not (constants and hash64(path, n.text) in constants)
+        for n, path in found
+        if (not n.doubt or all(trust[above(path, d)] for d in n.doubt))
+        and (not regions or n.article or stays(path))
+        and not (constants and hash64(path, n.text) in constants)
     ]
     inside = [n for n in kept if n.article]
-    return "\n\n".join(n.text for n in inside or kept)
+    if not inside or ARTICLE in contents:
+        return inside or kept
+    size = sum(len(n.text) for n in inside)
+    rest = sum(len(n.text) - n.links for n in kept if not n.article)
+    return inside if size * TEASER >= rest else [n for n in kept if not n.article]
+
+
+def main_text(html: str, constants: set[int], *host: set[int]) -> str:
+    """Blocks of the content, joined by an empty line."""
+    return "\n\n".join(n.text for n in content(parse(html), constants, *host))
 
 
 def extract(
@@ -671,9 +878,14 @@ def extract(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, htmls in text_slices(batches, "html"):
+            hosts = zip(*(rows.column(c).to_pylist() for c in ("constants", "regions", "contents")))
             found = [
-                main_text(html, set(constants or ()))
-                for html, constants in zip(htmls, rows.column("constants").to_pylist())
+                main_text(
+                    html,
+                    set(constants or ()),
+                    *(() if regions is None else (set(regions), set(contents))),
+                )
+                for html, (constants, regions, contents) in zip(htmls, hosts)
             ]
             yield pa.RecordBatch.from_arrays(
                 [rows.column("page_id"), rows.column("url"), pa.array(found, pa.string())],
@@ -683,6 +895,6 @@ def extract(
     return (
         pages.mapInArrow(hosts, "page_id long, url string, html string, host string")
         .join(known, "host", "left")
-        .select("page_id", "url", "html", "constants")
+        .select("page_id", "url", "html", "constants", "regions", "contents")
         .mapInArrow(run, "page_id long, url string, text string")
     )

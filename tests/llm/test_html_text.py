@@ -162,6 +162,57 @@ def test_few_pages_or_no_host_have_no_template(spark):
     assert {r.text for r in extract(docs).collect()} == {"same"}
 
 
+LONG = "It was said that much of this goes on for a good while. " * 6
+
+
+def test_regions_inside_an_article():
+    names = "user-comments reader-comment cookie-policy-notice sponsored-content".split()
+    gone = "".join(f"<div class='{n}'>no</div>" for n in names) + " and <span class=advert>Buy</span>"
+    assert main_text(page(f"<article><p>Text</p>{gone}</article>"), set()) == "Text\n\nand"
+
+
+def test_sections_with_the_word_of_a_region_are_judged_by_their_text():
+    for name in ("div class=social-sciences", "section class=related-work", "div id=search-results-story"):
+        tag = name.split()[0]
+        links = "".join(f"<a href=/{i}>{LONG}</a>" for i in range(3))
+        for inner, stays in ((f"<p>{LONG}</p>", True), ("<p>Short</p>", False), (links, False)):
+            html = page(f"<p>{LONG}</p><{name}>{inner}</{tag}>")
+            assert main_text(html, set()).count("\n\n") == stays
+    for name in ("comments", "post-comments", "sidebar-left", "site-footer"):
+        assert main_text(page(f"<p>One</p><div class={name}><p>{LONG}</p></div>"), set()) == "One"
+
+
+def test_a_teaser_is_not_the_article():
+    teaser = "<article><h3>Read too</h3></article>"
+    html = page(f"{teaser}<div class=post><p>{LONG}</p><p>{LONG}</p></div>")
+    assert main_text(html, set()) == f"{LONG.strip()}\n\n{LONG.strip()}"
+    assert main_text(page(f"<article><p>{LONG}</p></article><div>{LONG}</div>"), set()) == LONG.strip()
+
+
+def test_the_wrapper_tells_regions_without_names(spark):
+    """Menus, adverts and footers that vary, whose elements and classes say nothing."""
+    rng = random.Random(7)
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+
+    rows, expected = [], {}
+    for i in range(24):
+        blocks = [words(rng.randrange(30, 60)) for _ in range(rng.randrange(2, 9))]
+        menu = "".join(f"<li><a href=/{k}>{words(1)}</a></li>" for k in range(rng.randrange(3, 7)))
+        named = ("nav", "advert", "post", "footer") if i < 12 else ("qa", "qb", "qc", "qd")
+        host = "named" if i < 12 else "renamed"
+        parts = [f"<ul>{menu}</ul>", words(4), "".join(f"<p>{b}</p>" for b in blocks), words(3)]
+        body = "".join(f"<div class={n}>{x}</div>" for n, x in zip(named, parts))
+        rows.append((i, f"http://{host}.example/{i}", page(body)))
+        expected[i] = "\n\n".join(blocks)
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in extract(docs).collect()} == expected
+    # A page alone has nothing to tell an advert by.
+    alone = extract(docs.where("page_id = 20")).first().text
+    assert expected[20] in alone and alone != expected[20]
+
+
 def test_copied_articles_stay(spark):
     article = "<article><p>The same story.</p></article>"
     rows = [(i, f"http://c.example/{i}", page(f"<nav>{i}</nav>{article if i % 3 else f'<article><p>Own {i}</p></article>'}")) for i in range(30)]
