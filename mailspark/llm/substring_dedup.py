@@ -10,9 +10,10 @@ window whose words also begin in a document with a smaller id.
 * *Equal segments* (equal key and 64-bit hash) are counted once, on the map side first:
   that of the smallest document stands for all; in the others all of it is removed.
 * *Shards.* The remaining segments meet by key.  Each task cuts its keys into shards of
-  bounded size, indexes the words of a shard and streams its segments through the index:
-  backward search gives matching statistics, and where a match reaches the window, the
-  smallest document in the range of its occurrences.
+  bounded size.  Within a shard a key's segments are halved in order of their documents,
+  and the halves again: the smaller documents' half is indexed, the other half, which is
+  not in the index, is streamed through it.  Backward search gives matching statistics,
+  and where a match reaches the window, the smallest document that has it.
 * *Hot keys.* A passage in very many documents can give a key more segments than a
   shard holds.  Windows with such keys meet one by one, by 128 bits of their words, and
   combine on the map side, so no task gathers a key's segments.
@@ -225,9 +226,15 @@ def first_segments(texts: DataFrame, window: int) -> DataFrame:
 
 
 def shard_ranges(
-    words: list[list[bytes]], owners: list[int], window: int
+    words: list[list[bytes]], owners: list[int], window: int, keys: list[int] | None = None
 ) -> list[list[tuple[int, int]]]:
-    """Of each segment the ranges of windows that a smaller owner's segment has too."""
+    """Of each segment the ranges of windows that a smaller owner's segment has too.
+
+    Only segments of one key are looked for in one another.  Two of them differ in some
+    bit of their places by owner; at the highest one the former is indexed and the latter
+    streamed.  A segment all of whose windows a smaller owner has holds no first occurrence
+    and takes no further part.
+    """
     number: dict[bytes, int] = {}
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     tokens = np.zeros(int(sizes.sum()) + len(words), np.int64)
@@ -235,12 +242,32 @@ def shard_ranges(
     for begin, text in zip(begins.tolist(), words):
         tokens[begin : begin + len(text)] = [number.setdefault(w, len(number) + 1) for w in text]
     owner = np.array(owners, np.int64)
-    index = FMIndex(tokens, np.repeat(owner, sizes + 1), window)
-    least = index.least_owners(tokens, begins, sizes)
+    key = np.zeros(len(words), np.int64) if keys is None else np.array(keys, np.int64)
+    by = np.lexsort((owner, key))
+    new = np.append(True, key[by][1:] != key[by][:-1])[: len(by)]
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by)) - np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+    count = np.empty(len(by), np.int64)
+    group = np.cumsum(new) - 1
+    count[by] = np.bincount(group)[group] if len(by) else 0
+    owner_of = np.repeat(owner, sizes + 1)
+    repeated = np.zeros(len(tokens), bool)
+    for bit in range(int(count.max(initial=1) - 1).bit_length()):
+        before = np.concatenate([[0], np.cumsum(repeated)])
+        ends = np.maximum(begins, begins + sizes - window + 1)
+        first = before[ends] - before[begins] < ends - begins
+        streamed = np.flatnonzero((place >> bit & 1 == 1) & first)
+        held = (place >> bit & 1 == 0) & (count > 1 << bit) & first
+        if not (len(streamed) and held.any()):
+            continue
+        inside = np.repeat(held, sizes + 1)
+        index = FMIndex(tokens[inside], owner_of[inside], window, len(number) + 1)
+        _, least = index.matches(tokens, begins[streamed], sizes[streamed])
+        repeated |= (least >= 0) & (least < owner_of)
     found = []
-    for begin, size, own in zip(begins.tolist(), sizes.tolist(), owners):
-        repeated = least[begin : begin + size - window + 1] < own
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], repeated, [0]]))).tolist()
+    for begin, size in zip(begins.tolist(), sizes.tolist()):
+        own = repeated[begin : begin + max(0, size - window + 1)]
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], own, [0]]))).tolist()
         found.append(list(zip(edges[::2], edges[1::2])))
     return found
 
@@ -250,7 +277,7 @@ def indexed(firsts: DataFrame, window: int) -> DataFrame:
 
     def answer(rows: list[tuple]) -> pa.RecordBatch:
         words = [r[4].encode().split() for r in rows]
-        ranges = shard_ranges(words, [r[1] for r in rows], window)
+        ranges = shard_ranges(words, [r[1] for r in rows], window, [r[0] for r in rows])
         out = [
             (ord_, text_key, start + a, start + b)
             for (_, ord_, text_key, start, _), found in zip(rows, ranges)

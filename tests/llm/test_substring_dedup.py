@@ -101,6 +101,61 @@ def test_backward_search_counts_occurrences():
         assert int(high[0] - low[0]) == count
 
 
+def test_matching_statistics_of_texts_not_in_the_index():
+    rng = np.random.default_rng(3)
+    for symbols in (3, 6, 30):
+        held = np.append(rng.integers(1, symbols, 400), 0)
+        held[rng.integers(0, 400, 20)] = 0
+        sizes = rng.integers(0, 60, 25)
+        texts = [rng.integers(1, symbols + 1, n) for n in sizes]
+        for text in texts[:12]:
+            at = rng.integers(0, 340)
+            text[len(text) // 3 :] = held[at : at + len(text) - len(text) // 3]
+            text[text == 0] = symbols
+        streamed = np.concatenate([np.append(t, 0) for t in texts])
+        owners = rng.integers(0, 50, len(held))
+        index = FMIndex(held, owners, 8, symbols + 1)
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        lengths, least = index.matches(streamed, begins, sizes)
+        parts = {}
+        for i in range(len(held)):
+            for k in range(1, 9):
+                parts.setdefault(tuple(held[i : i + k]), []).append(owners[i])
+        for begin, text in zip(begins.tolist(), map(tuple, texts)):
+            for i in range(len(text)):
+                known = [k for k in range(1, 9) if i + k <= len(text) and text[i : i + k] in parts]
+                assert lengths[begin + i] == max(known, default=0)
+                whole = text[i : i + 8]
+                assert least[begin + i] == (min(parts[whole]) if 8 in known else -1)
+
+
+def test_the_answer_rests_on_the_backward_search(monkeypatch):
+    rng = random.Random(8)
+    words = [[rng.choice([b"a", b"b"]) for _ in range(20)] for _ in range(12)]
+    right = shard_ranges(words, list(range(12)), 4)
+    # Nothing is ever prolonged; a match that can't be prolonged is given up as a whole.
+    for name, broken in (
+        ("extend", lambda self, symbol, low, high: (high, high)),
+        ("shrunk", lambda self, symbol, low, *_: (low * 0, low * 0 + self.size, low * 0)),
+    ):
+        with monkeypatch.context() as patch:
+            patch.setattr(FMIndex, name, broken)
+            assert shard_ranges(words, list(range(12)), 4) != right
+
+
+def test_shards_of_several_keys():
+    rng = random.Random(9)
+    words = [[rng.choice([b"a", b"b", b"c"]) for _ in range(12)] for _ in range(60)]
+    owners, keys = [rng.randint(0, 30) for _ in words], [rng.randint(0, 9) for _ in words]
+    together = shard_ranges(words, owners, 4, keys)
+    for k in set(keys):
+        own = [i for i, x in enumerate(keys) if x == k]
+        alone = shard_ranges([words[i] for i in own], [owners[i] for i in own], 4)
+        for i, found in zip(own, alone):
+            covered = {x for a, b in together[i] for x in range(a, b)}
+            assert {x for a, b in found for x in range(a, b)} <= covered
+
+
 def test_shard_finds_the_smallest_owner():
     rng = random.Random(7)
     words = [[rng.choice([b"a", b"b"]) for _ in range(rng.randint(4, 30))] for _ in range(40)]
