@@ -230,7 +230,7 @@ def shard_ranges(
 ) -> list[list[tuple[int, int]]]:
     """Of each segment the ranges of windows that a smaller owner's segment has too.
 
-    Only segments of one key are looked for in one another.  Two of them differ in some
+    Equal windows have equal keys.  Two segments of a key differ in some
     bit of their places by owner; at the highest one the former is indexed and the latter
     streamed.  A segment all of whose windows a smaller owner has holds no first occurrence
     and takes no further part.
