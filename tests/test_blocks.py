@@ -125,9 +125,9 @@ def test_dictionaries_are_counted_as_packed_shares(spark, mails, monkeypatch):
     known = mails.unionByName(more).withColumn("label", F.coalesce("label", F.lit(0))).where("id is not null")
     plans, kept = {}, naive_bayes.written
 
-    def seen(rows, name):
+    def seen(rows, name, **options):
         plans[name] = rows._jdf.queryExecution().executedPlan().toString()
-        return kept(rows, name)
+        return kept(rows, name, **options)
 
     monkeypatch.setattr(naive_bayes, "written", seen)
     tables = []
